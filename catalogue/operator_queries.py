@@ -676,9 +676,10 @@ _WORDS = r"""
         regexp_replace(replace(regexp_replace(last_name,
             '((Jr|Jr.|I{{1,3}}|IV|V|VI|VII|VIII|IX)$)', ''), '''', ' '),
             '[^\p{{L}}\p{{N}}_\s\x0b\x1c-\x1f\x{{85}}\p{{Z}}-]', '', 'g') AS last_name,
-        upper(left(coalesce(nullif(regexp_extract(first_name, '([\p{{L}}\p{{N}}_]\.)', 1), ''),
-            nullif(regexp_replace(middle_name, '[^\p{{L}}\p{{Nl}}\p{{No}}_]+', '', 'g'), '')), 1))
-            AS middle_initial,
+        upper(replace(left(coalesce(
+            nullif(regexp_extract(first_name, '([\p{{L}}\p{{N}}_]\.)', 1), ''),
+            nullif(regexp_replace(middle_name, '[^\p{{L}}\p{{Nl}}\p{{No}}_]+', '', 'g'), '')), 1),
+            'ß', 'ss')) AS middle_initial,
         regexp_replace(replace(regexp_replace(first_name, '([\p{{L}}\p{{N}}_]\.)', '', 'g'),
             '''', ' '), '[^\p{{L}}\p{{N}}_\s\x0b\x1c-\x1f\x{{85}}\p{{Z}}-]', '', 'g') AS first_name
     FROM parts

@@ -123,12 +123,12 @@ STANDINS = {
             {pick('s_suppkey', SCHOOL_TYPES + [None])} AS predominant_degree_awarded_c,
             {pick('s_suppkey', ['Semester System', 'Quarter System', 'Trimester', 'Semester', None])}
                 AS academic_calendar_value_c,
-            n_name AS billing_state,
+            'State ' || CAST(s_suppkey % 4 AS STRING) AS billing_state,
             'S' || CAST(s_suppkey % 4 AS STRING) AS billing_state_code,
             CASE WHEN s_suppkey % 10 <> 7 THEN CAST({_half('s_suppkey', 3)} AS STRING) END
                 AS ipeds_id_c,
             s_acctbal < 0 AS school_permanently_closed_c
-        FROM {{supplier}} JOIN {{nation}} ON s_nationkey = n_nationkey
+        FROM {{supplier}}
     """,
     # Two IPEDS ids per branch code.
     "scorecard": f"""
@@ -354,7 +354,7 @@ STANDINS = {
             CAST(user_id AS INT) AS row,
             event_type AS column,
             {pick('event_id', [None, 'same', 'old', ''])} AS old_value,
-            {pick('event_id + CAST(value AS INT)', ['same', 'new', None, '', 'old'])} AS new_value,
+            {pick('event_id + CAST(floor(value) AS INT)', ['same', 'new', None, '', 'old'])} AS new_value,
             'u' || CAST(event_id % 10 AS STRING) AS user,
             ts, event_id AS seq
         FROM {{events}}
