@@ -26,9 +26,10 @@ def _text(value: str | None) -> str:
 
 
 def pick(key: str, values: list[str | None]) -> str:
-    """CASE that picks a text by an integer key, round and round."""
-    arms = " ".join(f"WHEN {i} THEN {_text(v)}" for i, v in enumerate(values))
-    return f"(CASE CAST(({key}) % {len(values)} AS INT) {arms} END)"
+    """Text picked from a list by an integer key, round and round; ``~`` stands for NULL."""
+    listed = _text("|".join("~" if v is None else v for v in values))
+    picked = f"split_part({listed}, '|', CAST(({key}) % {len(values)} AS INT) + 1)"
+    return f"nullif({picked}, '~')" if None in values else picked
 
 
 def _day(c: str) -> str:

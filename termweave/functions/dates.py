@@ -5,8 +5,19 @@ from pyspark.sql import functions as F
 
 
 def parse_yyyymmdd(c: Column) -> Column:
-    """A ``YYYYMMDD`` number as a date. Malformed input raises under ANSI mode."""
-    return F.to_date(c.cast("string"), "yyyyMMdd")
+    """A ``YYYYMMDD`` number as a date. Malformed input raises under ANSI mode.
+
+    Arithmetic in place of a text parser, which costs most of a scan of the feed. Numbers of
+    another length get month 0, which is no date.
+    """
+    number = c.cast("bigint")
+    month = F.floor(number / 100) % 100
+    eight_digits = number.isNull() | number.between(10000101, 99991231)
+    return F.make_date(
+        F.floor(number / 10000).cast("int"),
+        F.when(eight_digits, month).otherwise(0).cast("int"),
+        (number % 100).cast("int"),
+    )
 
 
 def span_label(begin: Column, end: Column) -> Column:

@@ -105,10 +105,6 @@ def _terms_by_year(terms: DataFrame) -> DataFrame:
     return _calendar(terms).groupBy("GAS_Year").agg(F.collect_set(term).alias("year_terms"))
 
 
-def _gap(a: Column, b: Column) -> Column:
-    return F.abs(F.datediff(a, b))
-
-
 def with_best_term_by_span(
     events: DataFrame, terms: DataFrame, begin_col: str, end_col: str
 ) -> DataFrame:
@@ -119,26 +115,34 @@ def with_best_term_by_span(
     event whose nearest start and nearest end are different terms is dropped.
     """
     begin, end = F.col(begin_col), F.col(end_col)
-    candidates = F.filter("year_terms", lambda t: end <= t.GAS_end_date)
-    start_gaps = F.transform("year_terms", lambda t: _gap(begin, t.GAS_start_date))
-    end_gaps = F.transform("year_terms", lambda t: _gap(end, t.GAS_end_date))
-    best = F.filter(
-        "year_terms",
-        lambda t: (_gap(begin, t.GAS_start_date) == F.array_min(start_gaps))
-        & (_gap(end, t.GAS_end_date) == F.array_min(end_gaps)),
-    )
+
+    def start_gap(term: Column) -> Column:
+        return F.abs(F.datediff(begin, term.GAS_start_date))
+
+    def end_gap(term: Column) -> Column:
+        return F.abs(F.datediff(end, term.GAS_end_date))
+
     return (
         events.join(_terms_by_year(terms), F.year(begin) == F.col("GAS_Year"))
-        .withColumn("year_terms", candidates)
-        .withColumn("best_term", F.explode(best))
-        .drop("year_terms", "GAS_Year")
+        .withColumn("year_terms", F.filter("year_terms", lambda t: end <= t.GAS_end_date))
+        .withColumn("start_gap", F.array_min(F.transform("year_terms", start_gap)))
+        .withColumn("end_gap", F.array_min(F.transform("year_terms", end_gap)))
+        .withColumn(
+            "best_term",
+            F.explode(
+                F.filter(
+                    "year_terms",
+                    lambda t: (start_gap(t) == F.col("start_gap")) & (end_gap(t) == F.col("end_gap")),
+                )
+            ),
+        )
         .withColumns(
             {
                 "GAS_id": F.col("best_term.GAS_id"),
                 "GAS_Name_short": F.col("best_term.GAS_Name_short"),
             }
         )
-        .drop("best_term")
+        .drop("year_terms", "GAS_Year", "start_gap", "end_gap", "best_term")
     )
 
 

@@ -7,6 +7,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split the hot keys of a join even if the rows must then be shuffled again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods beyond this size, which wide rows and long rule lists
+    # reach in whole-stage code; they run faster as several small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
