@@ -20,12 +20,19 @@ def missing_records(students: DataFrame, mapped: DataFrame, records: DataFrame)
     """Mapped feed rows of students none of whose feed rows has a record.
 
     ``students`` holds distinct student attributes with ``contact_id_mod``. One match
-    excludes all of a student's degrees. Both sides of the anti join come out of inner
-    joins on the key, so it is never NULL and the anti join equals ``NOT IN``.
+    excludes all of a student's degrees. The matched keys come out of a join on them, so
+    they are never NULL and the anti join equals ``NOT IN``. They are made distinct before
+    each shuffle, so that a student with very many feed rows is one row there.
     """
-    matched = matched_records(
-        records.select("contact_id_mod", "PAT_GAS_id"),
-        mapped.select("contact_id_nsc", "GAS_id"),
-    ).select(F.col("contact_id_nsc").alias("matched_id"))
+    found = mapped.select("contact_id_nsc", "GAS_id").distinct()
+    matched = (
+        found.join(
+            records,
+            (found.contact_id_nsc == records.contact_id_mod) & (found.GAS_id == records.PAT_GAS_id),
+            "left_semi",
+        )
+        .select(F.col("contact_id_nsc").alias("matched_id"))
+        .distinct()
+    )
     unmatched = mapped.join(matched, F.col("contact_id_nsc") == F.col("matched_id"), "left_anti")
     return students.join(unmatched, F.col("contact_id_mod") == F.col("contact_id_nsc"))
