@@ -2,13 +2,20 @@
 
 from datetime import date
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from termweave.sources.columns import STATUS_CODE, STATUS_NAME
 from termweave.sources.schemas import SCHEMAS
 
 
 def frame(spark, source, rows):
+    """A source of local rows; going through Arrow gives it a size that Catalyst knows."""
     schema = SCHEMAS[source]
-    return spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in rows], schema)
+    table = pa.Table.from_pylist(
+        [{n: r.get(n) for n in schema.names} for r in rows], schema=to_arrow_schema(schema)
+    )
+    return spark.createDataFrame(table, schema)
 
 
 def term(gas_id, name, calendar, start, end, season="Fall"):
