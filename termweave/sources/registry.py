@@ -26,13 +26,21 @@ def read_parquet(spark: SparkSession, source: str, path: str) -> DataFrame:
     return conform(spark.read.parquet(path), source)
 
 
-def read_csv(spark: SparkSession, source: str, path: str) -> DataFrame:
-    """A spreadsheet export. The header must name the schema's columns in order."""
+def read_csv(
+    spark: SparkSession, source: str, path: str, line_breaks: bool = False
+) -> DataFrame:
+    """A spreadsheet export. The header must name the schema's columns in order.
+
+    ``line_breaks`` allows them within cells; a file is then read by one task. Without it
+    such a cell fails the read.
+    """
     return (
         spark.read.schema(SCHEMAS[source])
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
+        .option("escape", '"')
+        .option("multiLine", line_breaks)
         .csv(path)
     )
 
