@@ -21,18 +21,16 @@ def missing_records(students: DataFrame, mapped: DataFrame, records: DataFrame)
 
     ``students`` holds distinct student attributes with ``contact_id_mod``. One match
     excludes all of a student's degrees. The matched keys come out of a join on them, so
-    they are never NULL and the anti join equals ``NOT IN``. They are made distinct before
-    each shuffle, so that a student with very many feed rows is one row there.
+    they are never NULL and the anti join equals ``NOT IN``. They are distinct student and
+    term, so that a student with very many feed rows is a few rows there.
     """
     found = mapped.select("contact_id_nsc", "GAS_id").distinct()
-    matched = (
-        found.join(
-            records,
-            (found.contact_id_nsc == records.contact_id_mod) & (found.GAS_id == records.PAT_GAS_id),
-            "left_semi",
-        )
-        .select(F.col("contact_id_nsc").alias("matched_id"))
-        .distinct()
-    )
+    # Not made distinct by student alone: both sides of the anti join then come straight out
+    # of a shuffle, and only such joins can have their hot keys split.
+    matched = found.join(
+        records,
+        (found.contact_id_nsc == records.contact_id_mod) & (found.GAS_id == records.PAT_GAS_id),
+        "left_semi",
+    ).select(F.col("contact_id_nsc").alias("matched_id"))
     unmatched = mapped.join(matched, F.col("contact_id_nsc") == F.col("matched_id"), "left_anti")
     return students.join(unmatched, F.col("contact_id_mod") == F.col("contact_id_nsc"))
