@@ -225,8 +225,8 @@ def discrepancies(same_college: bool) -> str:
         Enrollment_Status AS nsc_enrollment_status, ft_pt AS nsc_enrollment_status_ft_pt,
         CAST(year(first_day) AS INTEGER) AS nsc_Year, Class_Level,
         coalesce(level, 'Error') AS Class, Enrollment_Major_1, Enrollment_Major_2, Graduated_,
-        Graduation_Date, Degree_Title, Degree_Major_1, Degree_Major_2, Degree_Major_3,
-        Degree_Major_4, user_name AS cc_advisor, is_active AS active_user,
+        CAST(Graduation_Date AS VARCHAR) AS Graduation_Date, Degree_Title, Degree_Major_1, Degree_Major_2, Degree_Major_3,
+        Degree_Major_4, user_name AS cc_advisor, CAST(is_active AS VARCHAR) AS active_user,
         cc_advisor_c AS cc_advisor_user_id,
         academic_calendar_value_c AS sfdc_college_academic_calendar, academic_calendar_category_c,
         CAST(record_start AS VARCHAR) AS GAS_start_date, CAST(record_end AS VARCHAR) AS GAS_end_date,
@@ -271,7 +271,8 @@ FEED_TO_TERM_SHORT = with_sources(
         CAST(year(spans.first_day) AS INTEGER) AS nsc_Year,
         Enrollment_Status AS nsc_enrollment_status, ft_pt AS nsc_enrollment_status_ft_pt,
         College_Sequence, Class_Level, coalesce(level, 'Error') AS Class, Enrollment_Major_1,
-        Enrollment_Major_2, Graduated_, Graduation_Date, Degree_Title, Degree_Major_1,
+        Enrollment_Major_2, Graduated_, CAST(Graduation_Date AS VARCHAR) AS Graduation_Date, Degree_Title,
+        Degree_Major_1,
         Degree_Major_2, Degree_Major_3, Degree_Major_4, state_status AS sfdc_ct_status,
         state_years AS sfdc_years_since_hs_grad, INSTNM AS cs_college_name, unit AS cs_ipeds_id,
         CASE WHEN unit IS NOT NULL THEN ltrim(split_part(College_Code_Branch, '-', 1), '0') END

@@ -71,12 +71,12 @@ def _discrepancies(spark, sf, same_college) -> DataFrame:
     return enrolment_discrepancies(*[source(spark, sf, name) for name in names], same_college)
 
 
-@query(oracles.discrepancies(same_college=True))
+@query(oracles.discrepancies(same_college=True), ("Graduation_Date", "active_user"))
 def enrolment_discrepancy(spark, sf):
     return _discrepancies(spark, sf, True)
 
 
-@query(oracles.discrepancies(same_college=False))
+@query(oracles.discrepancies(same_college=False), ("Graduation_Date", "active_user"))
 def enrolment_and_college_discrepancy(spark, sf):
     return _discrepancies(spark, sf, False)
 
@@ -86,7 +86,7 @@ def span_term_count(spark, sf):
     return span_term_counts(source(spark, sf, "nsc_feed"), source(spark, sf, "term"))
 
 
-@query(oracles.FEED_TO_TERM_SHORT)
+@query(oracles.FEED_TO_TERM_SHORT, ("Graduation_Date",))
 def feed_term_short(spark, sf):
     names = ["nsc_feed", "student_term", "scorecard", "term"]
     return feed_to_term_short(*[source(spark, sf, name) for name in names])

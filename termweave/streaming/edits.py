@@ -37,7 +37,7 @@ def _is_tracked(spec: EditSpec) -> Column:
 def track_edits(edit_log: DataFrame, spec: EditSpec = EditSpec()) -> DataFrame:
     """Edited rows per sheet with their flag and the user of the last edit.
 
-    Works on a batch and on a stream. The user is stamped where a user column exists and
+    Works on a batch and on a stream (update mode). The user is stamped where a user column exists and
     never on the header row. The last edit is found by time and then sequence, so the order
     in which the log arrives does not matter; the state is one user per edited row.
     """
