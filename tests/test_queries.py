@@ -5,10 +5,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from catalogue.registry import ORACLES, QUERIES
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(QUERIES)
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
