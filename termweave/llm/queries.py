@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from termweave.llm import bpe, quality
+from termweave.llm import bpe, langid, quality, secrets, toxicity
+from termweave.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(build):
-    QUERIES[build.__name__] = build
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
     return build
 
 
@@ -34,3 +40,26 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     judged = quality.judged(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "p_good")
+
+
+@query
+def op6_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a third of them is held out from training."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = langid.fit(docs.where(~held_out))
+    keyed = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.predicted(keyed, model, ("doc_id", "held_out"))
+
+
+@query
+def op7_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,11 +16,11 @@ def folder(spark: SparkSession) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _own.setdefault("dir", None) or _own.update(dir=tempfile.mkdtemp()) or _own["dir"]
+        base = _own.setdefault("dir", tempfile.mkdtemp())
     return f"{base.rstrip('/')}/termweave-{spark.sparkContext.applicationId}"
 
 
-_own: dict[str, str | None] = {}
+_own: dict[str, str] = {}
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -45,3 +47,20 @@ def clear(spark: SparkSession) -> None:
 def _delete(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package's code to the executors, once, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if _shipped.get("to") == context.applicationId:
+        return
+    package = Path(__file__).parents[1]
+    archive = Path(tempfile.mkdtemp()) / "termweave_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped["to"] = context.applicationId
+
+
+_shipped: dict[str, str] = {}
