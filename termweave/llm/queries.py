@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termweave.llm import bpe, langid, quality, secrets, toxicity
+from termweave.llm import bpe, html, langid, lm, quality, secrets, toxicity
 from termweave.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_html_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_bpe_prefix_program(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document's text, and the bytes that they decode to, as digests."""
@@ -42,6 +48,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "p_good")
 
 
+@query
+def op5_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document; a tenth of them is held out from learning."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    lattice = lm.Lattice.from_sentencepiece(public_tokenizers.path("piece_bpe_32k.model"))
+    scored = lm.scored(docs.select("doc_id", "text", (~held_out).alias("train")), lattice, "train")
+    return scored.select("doc_id", held_out.alias("held_out"), *scored.columns[1:])
+
+
 @query
 def op6_language_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; a third of them is held out from training."""
