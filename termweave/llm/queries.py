@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termweave.llm import bpe, html, langid, lm, quality, secrets, toxicity
+from termweave.llm import bpe, html, jaccard, langid, lm, quality, secrets, toxicity
 from termweave.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,12 @@ def op7_secret_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_jaccard_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents that share most of their shingles."""
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document."""
