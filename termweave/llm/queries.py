@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termweave.llm import bpe, html, jaccard, langid, lm, quality, secrets, toxicity
+from termweave.llm import bpe, html, jaccard, langid, lm, multi_index, packing, quality, secrets, toxicity
 from termweave.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return multi_index.classes(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_html_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
@@ -85,3 +91,10 @@ def op9_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_grouping_genetic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces, packed into sequences."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.sequences(table(spark, sf_dir, "documents"), bpe.Bpe(ranks))
