@@ -2,24 +2,72 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from termweave.llm import quality
+from termweave.llm import bpe, jaccard, packing, quality, secrets, toxicity
+from termweave.llm.shared import ship, stage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+MASK = "[secret]"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the rules accept."""
+    ship(spark)
     return quality.judged(docs, keep=COLUMNS).where("kept").select(*COLUMNS)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def toxicity_grades(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the documents whose severity is that of a text that isn't toxic."""
+    ship(spark)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs, model, COLUMNS).where("not toxic").select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each class of similar documents the one with the smallest id, once.
+
+    Documents without an id stay.
+    """
+    ship(spark)
+    classes = jaccard.classes(docs.select("doc_id", "text"))
+    gone = stage(classes.where("doc_id <> component_id").select("doc_id").distinct())
+    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null")).select(*COLUMNS)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps every document, with secrets in its text masked."""
+    ship(spark)
+    found = secrets.scanned(docs, tuple(c for c in COLUMNS if c != "text"), "text", MASK)
+    length = F.when(F.size("spans") > 0, F.char_length("masked").cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", length).withColumnRenamed("masked", "text").select(*COLUMNS)
+
+
+def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and the sequences that they are packed into."""
+    ship(spark)
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.sequences(docs, bpe.Bpe(ranks))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("toxicity_grades", toxicity_grades),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("sequence_packing", sequence_packing),
+]
+#: Expectation-maximisation, regression, character models and the packing aren't SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, step in STAGES:
+    for k, (_, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = stage(docs)
     return docs

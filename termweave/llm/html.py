@@ -65,7 +65,7 @@ LAYOUT = frozenset("has with without no is hide show".split())
 
 TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>"""
-    r"""|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)""",
+    r"""|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|<[A-Za-z][^<>]*\Z""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![^\s/"'])(hidden)(?![^\s/>])""", re.S | re.I)

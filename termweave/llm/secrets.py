@@ -118,8 +118,10 @@ def learn(docs: DataFrame, text: str = "text") -> np.ndarray | None:
         counts[r["kind"], r["pair"] // STATES, r["pair"] % STATES] = r["n"]
     if not counts.sum((1, 2)).all():
         return None
-    # a random string draws from its whole alphabet: its transitions are smoothed towards that
     letters = counts.sum(1, keepdims=True) + 1
+    # a string is itself among the ordinary ones: what they have once is no evidence
+    counts[1] = np.maximum(counts[1] - 1, 0)
+    # transitions are smoothed towards the characters of each kind
     chance = counts + 20 * letters / letters.sum(2, keepdims=True)
     log = np.log(chance / chance.sum(2, keepdims=True))
     return (log[0] - log[1]).ravel()

@@ -1,0 +1,55 @@
+import re
+
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from termweave.llm import secrets as S
+from termweave.llm.text import Flat
+
+PATTERN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+
+
+def brute(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in PATTERN.finditer(text) if len(m[2]) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out)
+
+
+PARTS = st.sampled_from(
+    ["password", "PassWD", "é", " ", ": ", "=", '"', "'", "token", "api_key", "APIKEY", "abcdefgh", "x", "AKIA", "ABCDEFGHIJKL", "AKIAQ",
+     "0123456789abcdef" * 2, "deadbeef", "-", ".", "\n", "ſecret", "漢"]
+)
+
+
+@given(st.lists(st.one_of(st.none(), st.lists(PARTS, max_size=14).map("".join)), max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_rule_spans(texts):
+    got = S.found_in(Flat.of(pa.array(texts, pa.string())), None)
+    assert got == [brute(t) for t in texts]
+
+
+def test_models_add_random_strings(documents):
+    import random
+
+    r = random.Random(4)
+    draw = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    plain = ["administration", "internationalisation", "misunderstanding", "responsibilities", "straightforwardness"]
+    rows = [(k, f"the {r.choice(plain)} said that password={draw(24)} was {r.choice(plain)} and {r.choice(plain)}") for k in range(150)]
+    loose = draw(32)
+    rows += [(500, f"é {loose} stays"), (501, "counterrevolutionaries misunderstandings"), (502, None), (503, ""), (None, "token: 12345678")]
+    rows.append(rows[0])
+    got = {}
+    for x in S.scanned(documents(rows), mask="[*]").collect():
+        got[x["doc_id"]] = x
+    assert [(s["start"], s["end"], s["kind"]) for s in got[500]["spans"]] == [(2, 34, "random")]
+    assert got[500]["masked"] == "é [*] stays"
+    assert got[501]["spans"] == [] and got[501]["masked"] == "counterrevolutionaries misunderstandings"
+    assert got[502]["masked"] is None and got[503]["masked"] == "" and got[None]["masked"] == "[*]"
+    assert all([s["kind"] for s in got[k]["spans"]] == ["assign"] for k in range(150))
+    d = {x["doc_id"]: x for x in S.digests(documents(rows)).collect()}
+    assert d[500]["spans"] == "random:2:34" and d[500]["base_sha256"] == S.spans_digest([])
+    assert d[None]["spans"] == "assign:0:15" and d[None]["base_sha256"] == S.spans_digest([(0, 15, "assign")])
+    assert S.digests(documents([])).collect() == []
