@@ -105,7 +105,7 @@ class Lattice:
         expected = None if counts is None else np.zeros(len(self.pieces))
         size = ends - starts
         order = np.argsort(size, kind="stable")
-        step = 20_000
+        step = 5000
         short = int(np.searchsorted(size[order], LONG, "right"))
         groups = [order[k : min(k + step, short)] for k in range(0, short, step)] + [order[k : k + 1] for k in range(short, len(order))]
         for pick in groups:
@@ -171,7 +171,7 @@ def counted_words(docs: DataFrame, text: str, train: str) -> DataFrame:
     src = docs.select(F.col(text).alias("text"), F.col(train).alias("train"))
 
     def run(batches):
-        for batch in T.chunked(batches, "text", 4 * T.CHUNK):
+        for batch in T.chunked(batches, "text"):
             flat = T.Flat.of(batch.column("text"))
             w = T.words(flat)
             keys = T.slice_hash(flat.sums(lower=True), w.starts, w.ends)
@@ -183,8 +183,7 @@ def counted_words(docs: DataFrame, text: str, train: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), word, pa.array(n)], names=["key", "word", "n"])
 
     found = src.mapInArrow(run, "key long, word string, n long")
-    # any of the rows of a hash has its word
-    return found.groupBy("key").agg(F.min("word").alias("word"), F.sum("n").alias("n"))
+    return found.groupBy("key", "word").agg(F.sum("n").alias("n"))
 
 
 def trained(words: DataFrame, lattice: Lattice, rounds: int = ROUNDS) -> Lattice:
@@ -259,18 +258,21 @@ def scored(docs: DataFrame, lattice: Lattice, train: str, id: str = "doc_id", te
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
 
     def meet(batches):
-        key, value = frequent.value
-        lookup = T.SlotTable(max(12, len(key).bit_length() + 2))
-        lookup.add(key)
+        often, value = frequent.value
+        lookup = T.SlotTable(max(12, len(often).bit_length() + 2))
+        lookup.add(often)
         for batch in T.chunked(batches, "text"):
             flat = T.Flat.of(batch.column("text"))
             w, n = T.words(flat), len(flat)
             keys = T.slice_hash(flat.sums(lower=True), w.starts, w.ends)
             row = lookup.find(keys)
             hit = row >= 0
-            found = [np.bincount(w.doc[hit], value[row[hit], k], n) for k in range(3)]
-            rare, times = np.unique(np.stack([w.doc[~hit].astype(np.uint64), keys[~hit]], 1), axis=0, return_counts=True) if (~hit).any() else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
-            doc = rare[:, 0].astype(np.int64)
+            found = [np.bincount(w.doc[hit], value[row[hit], k], n).astype(float) for k in range(3)]
+            key, doc = keys[~hit], w.doc[~hit]
+            order = np.lexsort((key, doc))
+            key, doc = key[order], doc[order]
+            new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))[: len(key)])
+            times, key, doc = np.diff(np.append(new, len(key))), key[new], doc[new]
             tokens = w.per_doc(n) + 1
             at = batch.column("row").to_numpy()
             blank = lambda k, t: pa.nulls(k, t)
@@ -280,7 +282,7 @@ def scored(docs: DataFrame, lattice: Lattice, train: str, id: str = "doc_id", te
                 [
                     pa.concat_arrays([batch.column("row"), pa.array(at[doc])]),
                     pa.concat_arrays([batch.column("id"), blank(m, batch.column("id").type)]),
-                    pa.concat_arrays([blank(n, pa.int64()), pa.array(rare[:, 1].view(np.int64) if m else np.zeros(0, np.int64))]),
+                    pa.concat_arrays([blank(n, pa.int64()), pa.array(key.view(np.int64))]),
                     pa.concat_arrays([pa.array(tokens), pa.array(times.astype(np.int64))]),
                     *(pa.concat_arrays([pa.array(f), blank(m, pa.float64())]) for f in found),
                 ],
