@@ -157,7 +157,7 @@ def evolve(sizes: np.ndarray, elites: list[np.ndarray], seed: int, crossings: in
 def _island(epoch: int):
     """An island's epoch: (shard, island, row, length, elite) in, (shard, island, row, length, bin) out."""
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         table = table.sort_by("row")
         sizes = table.column("length").to_numpy()
         island = key[1].as_py()
