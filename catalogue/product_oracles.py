@@ -390,6 +390,27 @@ NEXT_ENROLMENTS = with_sources(
 )
 
 
+NEXT_ENROLMENT_AUDIT = (
+    "SELECT at_name_to_create, count(contact_id) AS n_students, count(*) AS n_records FROM ("
+    + NEXT_ENROLMENTS
+    + ") AS records GROUP BY at_name_to_create"
+)
+
+UNMATCHED_CALENDARS = with_sources(
+    "term_enrolment academic_term",
+    """
+    SELECT ate_id, academic_calendar_ate_c
+    FROM term_enrolment
+    WHERE current_at_c AND (
+        (current_ct_phase_c = 'Post Secondary' AND (current_ct_status_c = 'Active'
+            OR current_ct_status_c = 'Inactive' AND years_since_high_school_graduation_ate_c < 5.99e0))
+        OR (current_ct_phase_c = 'Alumni' AND years_since_high_school_graduation_ate_c < 5.99e0))
+        AND NOT EXISTS (SELECT 1 FROM academic_term
+            WHERE at_start_date = DATE '1999-04-01' AND academic_calendar_c = academic_calendar_ate_c)
+    """,
+)
+
+
 def activities(key: str, visits: str, visit_key: str, condition: str) -> str:
     return with_sources(
         f"engagement contact {visits}",
@@ -467,12 +488,13 @@ SUBMISSION = with_sources(
         ('Ng', 'Ng', NULL), ('Jrx', '', 'Jrx'), ('Val VIII', 'Val ', 'VIII')),
     middles(raw, initial) AS (VALUES
         ('d4vid!', 'D'), ('ángel', 'Á'), ('Lee', 'L'), ('o''b', 'O'))
-    SELECT 'D1' AS f01, CAST(NULL AS VARCHAR) AS f02, firsts.first_name AS f03,
-        coalesce(firsts.initial, middles.initial) AS f04, lasts.last_name AS f05,
-        lasts.suffix AS f06, strftime(birthdate, '%Y%m%d') AS f07,
-        CAST(high_school_graduating_class_c AS VARCHAR) || '0601' AS f08,
-        CAST(NULL AS VARCHAR) AS f09, CAST(NULL AS VARCHAR) AS f10, '00' AS f11,
-        contact_id AS f12
+    SELECT 0 AS place, 'H1,693622,0,Some School,20230308,DA,S,,,,00,' AS line
+    UNION ALL
+    SELECT 1 AS place, 'D1,,' || firsts.first_name || ','
+        || coalesce(firsts.initial, middles.initial, '') || ',' || lasts.last_name || ','
+        || coalesce(lasts.suffix, '') || ',' || coalesce(strftime(birthdate, '%Y%m%d'), '') || ','
+        || coalesce(CAST(high_school_graduating_class_c AS VARCHAR) || '0601', '') || ',,,00,'
+        || contact_id AS line
     FROM contact JOIN firsts ON contact.first_name = firsts.raw
         JOIN lasts ON contact.last_name = lasts.raw
         LEFT JOIN middles ON contact.middle_name = middles.raw
@@ -503,10 +525,47 @@ _TRACKED = """
 TRACKED = with_sources("edit_log", f"WITH {_TRACKED} SELECT * FROM tracked")
 
 STAMPED = with_sources(
-    "edit_log",
+    "edit_log application_template",
+    f"""
+    WITH {_TRACKED}
+    SELECT t."row", Full_Name, 1 AS "EditTracker", tracked."User"
+    FROM application_template t JOIN tracked ON t."row" = tracked."row" AND sheet = 'Applications'
+    """,
+)
+
+EDITED_APPLICATIONS = with_sources(
+    "edit_log application_template school_account application_fact",
     f"""
     WITH {_TRACKED}
-    SELECT CAST(c_custkey AS INTEGER) AS "row", c_name, 1 AS "EditTracker", "User"
-    FROM customer JOIN tracked ON c_custkey = "row" AND sheet = 'Applications'
+    SELECT Full_Name, Site AS site__c, College_University AS college_name, _18_Digit_ID AS id,
+        account_id AS college_university__c, Application_Status AS application_status__c,
+        Admission_Status AS admission_status__c,
+        Requested_application_fee_waiver AS "Requested_application_fee_waiver__c",
+        Application_fee_waiver_granted_ AS "Application_fee_waiver_granted__c",
+        Requested_Application_Fee_Payment_ AS "Requested_Application_Fee_Payment__c"
+    FROM application_template t
+        LEFT JOIN tracked ON t."row" = tracked."row" AND sheet = 'Applications'
+        LEFT JOIN school_account ON College_University = account_name
+        LEFT JOIN application_fact f
+            ON _18_Digit_ID = f.contact_id AND College_University = f.college_name
+    WHERE (tracked."row" IS NOT NULL OR t.EditTracker > 0) AND College_University IS NOT NULL
+        AND Application_Status IS NOT NULL AND college_app_id IS NULL
+    """,
+)
+
+# The stand-in majors that no rule names, written out.
+SENTINELS = with_sources(
+    "nsc_feed student_term",
+    f"""
+    WITH {_CURRENT}, levels(code) AS (VALUES {", ".join(f"('{c}')" for c in "FSJRCNBAMDPLGT")})
+    SELECT 'Class' AS checked, count(*) FILTER (WHERE code IS NULL) AS n
+    FROM nsc_feed LEFT JOIN levels ON Class_Level = code
+    WHERE Record_Found_Y_N AND Enrollment_Status IN ('F', 'Q', 'H', 'L')
+    UNION ALL
+    SELECT 'school_calendar' AS checked, count(*) FILTER (WHERE calendar = 'Check') AS n FROM current
+    UNION ALL
+    SELECT 'sfdc_major' AS checked, count(*) FILTER (
+        WHERE Degree_Major_1 IN ('MULTIMEDIA', 'COMMUNICATION', 'GENERAL', 'BASKETRY')) AS n
+    FROM nsc_feed
     """,
 )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catalogue import product_oracles as oracles
 from catalogue.registry import query
+from catalogue.scratch import remove, scratch_folder
 from catalogue.standins import source
 from termweave.plans.activities import readiness_activities
 from termweave.plans.degrees import (
@@ -16,20 +17,30 @@ from termweave.plans.degrees import (
     TWO_YEAR_UPDATE,
     degree_records,
 )
-from termweave.plans.enrolment import enrolment_discrepancies, feed_to_term_short, span_term_counts
+from termweave.functions.degrees import classify, major_rules
+from termweave.plans.enrolment import (
+    enrolled,
+    enrolment_discrepancies,
+    feed_to_term_short,
+    span_term_counts,
+)
 from termweave.plans.next_term import (
     TermSpec,
+    current_records,
     next_term_audit,
     next_term_enrolments,
     next_term_records,
     unknown_calendars,
+    unmatched_calendars,
 )
-from termweave.plans.submission import clearinghouse_submission
+from termweave.operators.audit import sentinel_counts
+from termweave.plans.submission import SubmissionSpec, record_line, submission_records
 from termweave.plans.templates import admission_edits, aid_edits, edited, new_applications
+from termweave.sources.registry import read_csv
+from termweave.sources.sinks import write_import
 from termweave.streaming.edits import (
     EditSpec,
     flags,
-    scratch_folder,
     stamp_template,
     start_tracking,
     track_edits,
@@ -38,6 +49,7 @@ from termweave.streaming.edits import (
 
 FALL = TermSpec("Fall", date(1999, 7, 1))
 SPRING = TermSpec("Spring", date(1998, 1, 1))
+QUARTER = TermSpec("Spring", date(1999, 4, 1))  # no semester starts that day
 EDITS = EditSpec(maintainers=("u3",), sheets_without_user=("Aid",))
 
 
@@ -117,12 +129,44 @@ def next_term_unknown_calendar(spark, sf):
     return rows.select(F.col("AT_Id").alias("record_id"), "school_calendar")
 
 
-@query(oracles.NEXT_ENROLMENTS)
-def next_term_enrolment(spark, sf):
+def _next_enrolments(spark, sf) -> DataFrame:
     names = ["term_enrolment", "scholar", "academic_term", "year_enrolment"]
     return next_term_enrolments(*[source(spark, sf, name) for name in names], FALL)
 
 
+@query(oracles.NEXT_ENROLMENTS)
+def next_term_enrolment(spark, sf):
+    return _next_enrolments(spark, sf)
+
+
+@query(oracles.NEXT_ENROLMENT_AUDIT)
+def next_term_enrolment_audit(spark, sf):
+    return next_term_audit(_next_enrolments(spark, sf))
+
+
+@query(oracles.UNMATCHED_CALENDARS)
+def next_term_unmatched_calendar(spark, sf):
+    rows = unmatched_calendars(source(spark, sf, "term_enrolment"), source(spark, sf, "academic_term"), QUARTER)
+    return rows.select("ate_id", "academic_calendar_ate_c")
+
+
+def _sentinels(df: DataFrame, column: str) -> DataFrame:
+    counts = sentinel_counts(df, [column])
+    return counts.select(F.lit(column).alias("checked"), F.col(f"n_{column}_sentinels").alias("n"))
+
+
+@query(oracles.SENTINELS)
+def sentinel_count(spark, sf):
+    """Values that stand for a failed rule, by the column that holds them."""
+    feed, records = source(spark, sf, "nsc_feed"), source(spark, sf, "student_term")
+    majors = feed.select(classify(F.col("Degree_Major_1"), major_rules(any_multimedia=False)).alias("sfdc_major"))
+    return (
+        _sentinels(enrolled(feed), "Class")
+        .union(_sentinels(majors, "sfdc_major"))
+        .union(_sentinels(current_records(records), "school_calendar"))
+    )
+
+
 @query(oracles.activities("organization_c", "visit", "region_id", "TRUE"))
 def region_visit_fanout(spark, sf):
     names = ["engagement", "contact", "visit"]
@@ -161,7 +205,8 @@ def aid_edit_rows(spark, sf):
 
 @query(oracles.SUBMISSION)
 def submission_file(spark, sf):
-    return clearinghouse_submission(source(spark, sf, "contact"))
+    records = submission_records(source(spark, sf, "contact"), SubmissionSpec(organisation="Some School"))
+    return records.select("place", record_line().alias("line"))
 
 
 @query(oracles.TRACKED)
@@ -176,16 +221,40 @@ def track_edits_stream(spark, sf):
     source(spark, sf, "edit_log").repartition(5, "seq").write.parquet(log)
     schema = source(spark, sf, "edit_log").schema
     edits = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(log)
-    running = start_tracking(edits, folder, EDITS, available_now=True)
+    running = start_tracking(edits, folder, EDITS, available_now=True, compact_after=2)
     running.awaitTermination()
+    remove(spark, log)
+    remove(spark, f"{folder}/checkpoint")
     return flags(tracked_so_far(spark, folder))
 
 
 @query(oracles.STAMPED)
 def edits_to_template(spark, sf):
-    template = source(spark, sf, "customer").select(
-        F.col("c_custkey").cast("int").alias("row"), "c_name"
-    )
+    template = source(spark, sf, "application_template").drop("EditTracker", "User")
     tracked = track_edits(source(spark, sf, "edit_log"), EDITS)
     rows = edited(stamp_template(template, tracked, "Applications"))
-    return rows.select("row", "c_name", "EditTracker", "User")
+    return rows.select("row", "Full_Name", "EditTracker", "User")
+
+
+@query(oracles.EDITED_APPLICATIONS)
+def edits_to_applications(spark, sf):
+    """From the log of edits over the template to the applications to create."""
+    template = source(spark, sf, "application_template")
+    tracked = track_edits(source(spark, sf, "edit_log"), EDITS)
+    stamped = stamp_template(template, tracked, "Applications")
+    return new_applications(stamped, source(spark, sf, "school_account"), source(spark, sf, "application_fact"))
+
+
+@query(oracles.degrees(four_year=True, create=False))
+def degree_4yr_update_from_csv(spark, sf):
+    """The feed as a spreadsheet export, with flags as Y and N, gives what the table gives."""
+    folder = scratch_folder(spark, "feed")
+    feed = source(spark, sf, "nsc_feed").withColumns(
+        {
+            "Record_Found_Y_N": F.when(F.col("Record_Found_Y_N"), "Y").when(~F.col("Record_Found_Y_N"), "N"),
+            "Graduated_": F.when(F.col("Graduated_"), "Yes").when(~F.col("Graduated_"), "No"),
+        }
+    )
+    write_import(feed, folder, "csv")
+    others = [source(spark, sf, name) for name in ("student_term", "school_account", "scorecard", "term")]
+    return degree_records(read_csv(spark, "nsc_feed", folder), *others, FOUR_YEAR_UPDATE)

@@ -311,7 +311,7 @@ STANDINS = {
             {pick('o_orderkey', ['No', 'Yes'])} AS Requested_Application_Fee_Payment_,
             CAST(CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 0 ELSE 1 END
                 AS INT) AS EditTracker,
-            CAST(NULL AS STRING) AS User
+            CAST(NULL AS STRING) AS User, CAST(o_orderkey AS INT) AS row
         FROM {{orders}}
     """,
     "application_fact": f"""
@@ -334,7 +334,8 @@ STANDINS = {
             {pick('o_orderkey', ['Verified', None])} AS Financial_Aid_Verification_Status,
             {pick('o_orderkey', ['Received', None])} AS Award_Letter,
             CAST(CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN 0 ELSE 1 END
-                AS INT) AS EditTracker
+                AS INT) AS EditTracker,
+            CAST(o_orderkey AS INT) AS row
         FROM {{orders}}
     """,
     "aid_template": f"""
@@ -347,7 +348,8 @@ STANDINS = {
             c_acctbal AS FA_Req__Exp_Financial_Contribution__EFC_,
             c_acctbal * 2 AS FA_Req__Annual_Adjusted_Gross_Income,
             CAST(CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 1 END AS INT)
-                AS EditTracker
+                AS EditTracker,
+            CAST(c_custkey AS INT) AS row
         FROM {{customer}}
     """,
     "edit_log": f"""

@@ -5,19 +5,29 @@ from pyspark.sql import functions as F
 
 
 def parse_yyyymmdd(c: Column) -> Column:
-    """A ``YYYYMMDD`` number as a date. Malformed input raises under ANSI mode.
+    """A ``YYYYMMDD`` number as a date. Malformed input raises, whatever the session's ANSI mode.
 
     Arithmetic in place of a text parser, which costs most of a scan of the feed. Numbers of
     another length get month 0, which is no date.
     """
-    number = c.cast("bigint")
+    number = c.try_cast("bigint")
     month = F.floor(number / 100) % 100
     eight_digits = number.isNull() | number.between(10000101, 99991231)
-    return F.make_date(
+    date = F.make_date(
         F.floor(number / 10000).cast("int"),
         F.when(eight_digits, month).otherwise(0).cast("int"),
         (number % 100).cast("int"),
     )
+    return or_raise(date, c, "date")
+
+
+def or_raise(result: Column, given: Column, kind: str) -> Column:
+    """The result, of the Spark type ``kind``; an error where it is NULL though a value was given.
+
+    Outside ANSI mode what can't be cast becomes NULL, and its row would drop out of joins unseen.
+    """
+    error = F.raise_error(F.concat(F.lit(f"not a {kind}: "), given.cast("string")))
+    return F.when(given.isNotNull(), F.coalesce(result, error.cast(kind)))
 
 
 def span_label(begin: Column, end: Column) -> Column:

@@ -2,14 +2,15 @@
 
 A term is a candidate only in the calendar year it starts in. Nearness depends on the date
 or span alone, never on the student, so the work is done on the term calendar and the feed
-only looks its rows up. The calendar is small and read from its own table; Catalyst
-broadcasts it while its size allows and shuffles past that.
+only looks its rows up. The calendar's maps are counted before they are broadcast; beyond
+the bound the same joins shuffle.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termweave.functions.dates import span_label
+from termweave.operators.sizes import small
 from termweave.sources.columns import TERM_COLUMNS
 
 # Fixed value: name of a row in the calendar that is no term (with two blanks).
@@ -102,17 +103,14 @@ def nearest_terms_by_span(
 def _terms_by_year(terms: DataFrame) -> DataFrame:
     """One row per calendar year with the terms that start in it."""
     term = F.struct("GAS_id", "GAS_Name_short", "GAS_start_date", "GAS_end_date")
-    return _calendar(terms).groupBy("GAS_Year").agg(F.collect_set(term).alias("year_terms"))
+    return small(_calendar(terms).groupBy("GAS_Year").agg(F.collect_list(term).alias("year_terms")))
 
 
-def with_best_term_by_span(
-    events: DataFrame, terms: DataFrame, begin_col: str, end_col: str
-) -> DataFrame:
-    """Each event once per term that is nearest both by start and by end.
+def _with_best_terms(events: DataFrame, terms: DataFrame, begin_col: str, end_col: str) -> DataFrame:
+    """Adds ``best_terms``: of the span's candidates those nearest both by start and by end.
 
-    Same terms as rank 1 and 1 of :func:`nearest_terms_by_span`, but found row by row among
-    the few terms of one year, so the events are neither shuffled nor grouped by span. An
-    event whose nearest start and nearest end are different terms is dropped.
+    Found row by row among the few terms of one year, so the events are neither shuffled nor
+    grouped by span while the calendar is small.
     """
     begin, end = F.col(begin_col), F.col(end_col)
 
@@ -128,21 +126,59 @@ def with_best_term_by_span(
         .withColumn("start_gap", F.array_min(F.transform("year_terms", start_gap)))
         .withColumn("end_gap", F.array_min(F.transform("year_terms", end_gap)))
         .withColumn(
-            "best_term",
-            F.explode(
-                F.filter(
-                    "year_terms",
-                    lambda t: (start_gap(t) == F.col("start_gap")) & (end_gap(t) == F.col("end_gap")),
-                )
+            "best_terms",
+            F.filter(
+                "year_terms",
+                lambda t: (start_gap(t) == F.col("start_gap")) & (end_gap(t) == F.col("end_gap")),
             ),
         )
+        .drop("year_terms", "GAS_Year", "start_gap", "end_gap")
+    )
+
+
+def with_best_term_by_span(
+    events: DataFrame, terms: DataFrame, begin_col: str, end_col: str
+) -> DataFrame:
+    """Each event once per term that is nearest both by start and by end.
+
+    Same terms as rank 1 and 1 of :func:`nearest_terms_by_span`. An event whose nearest start and
+    nearest end are different terms is dropped.
+    """
+    return (
+        _with_best_terms(events, terms, begin_col, end_col)
+        .withColumn("best_term", F.explode(F.array_distinct("best_terms")))
+        .withColumns({"GAS_id": F.col("best_term.GAS_id"), "GAS_Name_short": F.col("best_term.GAS_Name_short")})
+        .drop("best_terms", "best_term")
+    )
+
+
+def with_best_term_names(
+    events: DataFrame, terms: DataFrame, begin_col: str, end_col: str
+) -> DataFrame:
+    """Each event once per short name of its best terms, with the number of terms of that name.
+
+    The ranks, which are 1 for the best terms, are kept as columns. Same rows as the counts of
+    :func:`term_match_counts` with rank 1 and 1, looked up by span.
+    """
+    names = F.transform("best_terms", lambda t: t.GAS_Name_short)
+    named = F.transform(
+        F.array_distinct(names),
+        lambda name: F.struct(
+            name.alias("name"), F.size(F.filter(names, lambda other: other == name)).cast("bigint").alias("n")
+        ),
+    )
+    return (
+        _with_best_terms(events, terms, begin_col, end_col)
+        .withColumn("best_name", F.explode(named))
         .withColumns(
             {
-                "GAS_id": F.col("best_term.GAS_id"),
-                "GAS_Name_short": F.col("best_term.GAS_Name_short"),
+                "GAS_Name_short": F.col("best_name.name"),
+                "num_terms": F.col("best_name.n"),
+                "start_rank": F.lit(1),
+                "end_rank": F.lit(1),
             }
         )
-        .drop("year_terms", "GAS_Year", "start_gap", "end_gap", "best_term")
+        .drop("best_terms", "best_name")
     )
 
 

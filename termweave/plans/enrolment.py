@@ -19,6 +19,7 @@ from termweave.operators.terms import (
     nearest_terms_by_span,
     term_match_counts,
     with_best_term_by_span,
+    with_best_term_names,
 )
 from termweave.plans.degrees import COLLEGE_RECORD
 from termweave.sources.columns import STATUS_NAME
@@ -154,10 +155,11 @@ def enrolment_discrepancies(
         & (F.col("global_academic_semester_c") == F.col("GAS_id"))
         & (college if same_college else ~college),
     )
-    # Whoever has a record has a state, so the lookup of states is inner.
-    rows = found.join(
+    # Whoever has a record has a state, so the lookup of states is inner. States are distinct, so
+    # rows are made distinct before they are multiplied by them.
+    rows = found.distinct().join(
         _student_states(student_terms), F.col("contact_id_nsc") == F.col("state_contact")
-    ).distinct()
+    )
     advisors = users.select("user_id", F.col("user_name"), "is_active")
     rows = rows.join(advisors, F.col("cc_advisor_c") == F.col("user_id"), "left")
     return import_fields(rows, _discrepancy_fields(same_college))
@@ -220,9 +222,10 @@ def feed_to_term_short(
 ) -> DataFrame:
     """Enrolments with the short name of their best terms and how many terms share it."""
     codes = scorecard_codes(scorecard)
+    spans = with_best_term_names(enrolled(feed), terms, BEGIN, END)
+    term_columns = ["GAS_Name_short", "num_terms", "start_rank", "end_rank"]
     rows = (
-        enrolled(feed)
-        .join(
+        spans.join(
             _student_states(student_terms),
             F.col("contact_id_nsc") == F.col("state_contact"),
             "left",
@@ -230,5 +233,4 @@ def feed_to_term_short(
         .drop("state_contact")
         .join(codes, F.col("nsc_college_code_branch") == codes.cs_college_branch_code_6, "left")
     )
-    counts = span_term_counts(feed, terms).where("start_rank = 1 AND end_rank = 1").drop(BEGIN, END)
-    return rows.join(counts, "nsc_date_concat").distinct()
+    return rows.select(*[c for c in rows.columns if c not in term_columns], *term_columns).distinct()

@@ -12,6 +12,7 @@ from termweave.functions.carry import filled_when, null_when
 from termweave.functions.codes import CALENDAR_ERROR, calendar_of_name
 from termweave.operators.audit import record_count_audit
 from termweave.operators.importing import import_fields
+from termweave.operators.sizes import small
 from termweave.sources.columns import STATUS_CODE
 from termweave.sources.schemas import RUBRIC_CARRIED, RUBRIC_RESET
 
@@ -64,10 +65,12 @@ def next_term_records(student_terms: DataFrame, terms: DataFrame, spec: TermSpec
         F.col("term_c").alias("season_to_create"),
         "academic_calendar_category_c",
     )
+    # Records without a known calendar match no term; ``unknown_calendars`` counts them.
     rows = (
         current_records(student_terms)
+        .where(F.col("school_calendar") != CALENDAR_ERROR)
         .drop("term_c")
-        .join(target, F.col("school_calendar") == F.col("academic_calendar_category_c"))
+        .join(small(target), F.col("school_calendar") == F.col("academic_calendar_category_c"))
         .where(F.col("GAS_Name") != F.col("gas_name_to_create"))
     )
     status = F.col(STATUS_CODE)
@@ -108,18 +111,12 @@ def next_term_records(student_terms: DataFrame, terms: DataFrame, spec: TermSpec
     )
 
 
-def next_term_enrolments(
-    enrolments: DataFrame,
-    scholars: DataFrame,
-    terms: DataFrame,
-    year_enrolments: DataFrame,
-    spec: TermSpec,
-) -> DataFrame:
-    """Enrolments to create for the next term in the new CRM."""
+def current_enrolments(enrolments: DataFrame) -> DataFrame:
+    """Current enrolments of active college students, and of the others while they are young enough."""
     status, phase = F.col("current_ct_status_c"), F.col("current_ct_phase_c")
     young = F.col("years_since_high_school_graduation_ate_c") < F.lit(MAX_YEARS)
     in_college = phase == "Post Secondary"
-    current = enrolments.where(
+    return enrolments.where(
         F.col("current_at_c")
         & (
             ((status == "Active") & in_college)
@@ -127,16 +124,39 @@ def next_term_enrolments(
             | ((phase == "Alumni") & young)
         )
     ).drop("at_id", "at_name")
-    target = (
-        terms.select(
-            "at_id",
-            "ay_id",
-            F.col("at_name").alias("at_name_to_create"),
-            "academic_calendar_c",
-            F.col("at_start_date").cast("date").alias("enrollment_date"),
-            F.col("at_end_date").cast("date").alias("exit_date"),
-        )
+
+
+def target_terms(terms: DataFrame, spec: TermSpec) -> DataFrame:
+    """The new CRM's terms that start on the day of the spec."""
+    return terms.select(
+        "at_id",
+        "ay_id",
+        F.col("at_name").alias("at_name_to_create"),
+        "academic_calendar_c",
+        F.col("at_start_date").cast("date").alias("enrollment_date"),
+        F.col("at_end_date").cast("date").alias("exit_date"),
     ).where(F.col("enrollment_date") == F.lit(spec.start_date))
+
+
+def unmatched_calendars(enrolments: DataFrame, terms: DataFrame, spec: TermSpec) -> DataFrame:
+    """Current enrolments whose calendar no target term has, so that no enrolment is created."""
+    known = small(target_terms(terms, spec).select("academic_calendar_c").distinct())
+    return current_enrolments(enrolments).join(
+        known, F.col("academic_calendar_ate_c") == F.col("academic_calendar_c"), "left_anti"
+    )
+
+
+def next_term_enrolments(
+    enrolments: DataFrame,
+    scholars: DataFrame,
+    terms: DataFrame,
+    year_enrolments: DataFrame,
+    spec: TermSpec,
+) -> DataFrame:
+    """Enrolments to create for the next term in the new CRM."""
+    status, phase = F.col("current_ct_status_c"), F.col("current_ct_phase_c")
+    target = target_terms(terms, spec)
+    current = current_enrolments(enrolments)
     credits = scholars.select(
         F.col("account_id").alias("scholar_id"), "most_recent_num_cumulative_credits_pc"
     )
@@ -147,7 +167,7 @@ def next_term_enrolments(
     )
     # The term lookup drops rows, so it comes before the lookups that shuffle.
     rows = (
-        current.join(target, F.col("academic_calendar_ate_c") == F.col("academic_calendar_c"))
+        current.join(small(target), F.col("academic_calendar_ate_c") == F.col("academic_calendar_c"))
         .join(credits, F.col("account_id") == F.col("scholar_id"), "left")
         .join(
             years,
@@ -188,5 +208,6 @@ def next_term_enrolments(
 
 
 def next_term_audit(records: DataFrame) -> DataFrame:
-    """Students and records per term to create."""
-    return record_count_audit(records, "gas_name_to_create", "contact_id")
+    """Students and records per term to create, of either CRM's product."""
+    old, new = "gas_name_to_create", "at_name_to_create"
+    return record_count_audit(records, old if old in records.columns else new, "contact_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termweave.functions.dates import compact_date, search_date
@@ -76,11 +76,27 @@ def header_record(details: DataFrame, spec: SubmissionSpec) -> DataFrame:
     )
 
 
+def submission_records(contacts: DataFrame, spec: SubmissionSpec) -> DataFrame:
+    """The whole file: ``place`` 0 is the header record, 1 are detail records in any order."""
+    details = clearinghouse_submission(contacts)
+    header = header_record(details, spec)
+    return header.select(F.lit(0).alias("place"), *FIELDS).union(details.select(F.lit(1).alias("place"), *FIELDS))
+
+
+def record_line(fields: list[str] = FIELDS) -> Column:
+    """A record as the line that the file has for it; blank fields stay blank, quotes are doubled."""
+    text = [F.coalesce(F.col(f), F.lit("")) for f in fields]
+    quoted = [
+        F.when(t.rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(t, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(t)
+        for t in text
+    ]
+    return F.concat_ws(",", *quoted)
+
+
 def write_submission(contacts: DataFrame, path: str, spec: SubmissionSpec) -> None:
     """The header record and all detail records as parts of one file.
 
     The header is the first partition, so it opens the first part; the parts in name order
     make up the file. No shuffle, and no task sees more than its input split.
     """
-    details = clearinghouse_submission(contacts)
-    write_positional(header_record(details, spec).union(details), path)
+    write_positional(submission_records(contacts, spec).drop("place"), path)

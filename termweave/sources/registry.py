@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from termweave.functions.dates import or_raise
 from termweave.sources.schemas import SCHEMAS
 
 
@@ -13,13 +15,28 @@ class MissingColumns(ValueError):
 
 
 def conform(df: DataFrame, source: str) -> DataFrame:
-    """The columns of a source in schema order and type; fails if one is missing."""
+    """The columns of a source in schema order and type; fails if one is missing.
+
+    A value that isn't of its column's type raises, whatever the session's ANSI mode. Text of
+    flags may be ``Y``, ``Yes``, ``True`` or ``1``, their opposites, in either case, or blank.
+    """
     present = {name.lower() for name in df.columns}
     schema = SCHEMAS[source]
     missing = [field.name for field in schema if field.name.lower() not in present]
     if missing:
         raise MissingColumns(f"{source}: {', '.join(missing)}")
-    return df.select([F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    kinds = {f.name.lower(): f.dataType for f in df.schema}
+    return df.select([_typed(f, kinds[f.name.lower()]) for f in schema])
+
+
+def _typed(field: T.StructField, given: T.DataType) -> Column:
+    value = F.col(f"`{field.name}`")
+    if given == field.dataType or isinstance(field.dataType, T.StringType):
+        return value.cast(field.dataType).alias(field.name)
+    if isinstance(given, T.StringType):
+        value = F.when(F.trim(value) != "", F.trim(value))
+    kind = field.dataType.simpleString()
+    return or_raise(value.try_cast(kind), value, kind).alias(field.name)
 
 
 def read_parquet(spark: SparkSession, source: str, path: str) -> DataFrame:
@@ -32,10 +49,11 @@ def read_csv(
     """A spreadsheet export. The header must name the schema's columns in order.
 
     ``line_breaks`` allows them within cells; a file is then read by one task. Without it
-    such a cell fails the read.
+    such a cell fails the read. Cells are read as text and typed as ``conform`` does.
     """
-    return (
-        spark.read.schema(SCHEMAS[source])
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in SCHEMAS[source]])
+    rows = (
+        spark.read.schema(text)
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
@@ -43,6 +61,7 @@ def read_csv(
         .option("multiLine", line_breaks)
         .csv(path)
     )
+    return conform(rows, source)
 
 
 def read_table(spark: SparkSession, source: str, table: str) -> DataFrame:

@@ -134,7 +134,7 @@ SCHEMAS = {
         Full_Name string, Site string, College_University string, _18_Digit_ID string,
         Application_Status string, Admission_Status string,
         Requested_application_fee_waiver string, Application_fee_waiver_granted_ string,
-        Requested_Application_Fee_Payment_ string, EditTracker int, User string
+        Requested_Application_Fee_Payment_ string, EditTracker int, User string, row int
         """
     ),
     "application_fact": _schema("college_app_id string, contact_id string, college_name string"),
@@ -143,7 +143,7 @@ SCHEMAS = {
         Full_Name string, Site string, College_University__Account_Name string,
         College_Application__ID string, Application_Status string, Admission_Status string,
         Enrollment_Deposit string, Housing_Application string,
-        Financial_Aid_Verification_Status string, Award_Letter string, EditTracker int
+        Financial_Aid_Verification_Status string, Award_Letter string, EditTracker int, row int
         """
     ),
     "aid_template": _schema(
@@ -151,7 +151,7 @@ SCHEMAS = {
         Full_Name string, grade string, Site string, _18_Digit_ID string,
         FA_Req__FAFSA_Alternative_Financial_Aid string, FA_Req__EFC_Source string,
         FA_Req__Exp_Financial_Contribution__EFC_ double,
-        FA_Req__Annual_Adjusted_Gross_Income double, EditTracker int
+        FA_Req__Annual_Adjusted_Gross_Income double, EditTracker int, row int
         """
     ),
     "edit_log": _schema(

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termweave.sources.schemas import SCHEMAS
 
@@ -92,46 +92,103 @@ def read_edit_stream(
     return reader.parquet(path)
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's checkpoint folder.
+#: Micro-batches whose changes are kept apart before they are merged into one snapshot.
+COMPACT_AFTER = 10
 
-    Only a local session without one falls back to a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set")
-        base = tempfile.mkdtemp(prefix="termweave-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
+def _numbered(spark: SparkSession, folder: str, prefix: str) -> dict[int, str]:
+    """Complete datasets ``<prefix>=<number>`` in a folder, by number."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.listStatus(place) if files.exists(place) else []
+    paths = [status.getPath() for status in found if status.getPath().getName().startswith(f"{prefix}=")]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return {
+        int(p.getName().partition("=")[2]): p.toString() for p in paths if files.exists(path(p, "_SUCCESS"))
+    }
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _state_files(spark: SparkSession, folder: str) -> tuple[dict[int, str], dict[int, str]]:
+    """The latest snapshot, and the changes since then, by the number of the micro-batch."""
+    snapshots = _numbered(spark, f"{folder}/states", "snapshot")
+    last = max(snapshots, default=-1)
+    changes = _numbered(spark, f"{folder}/states", "batch")
+    return {last: snapshots[last]} if snapshots else {}, {n: p for n, p in changes.items() if n > last}
+
+
+def _latest(spark: SparkSession, files: dict[int, str]) -> DataFrame:
+    """The last state of each row among numbered datasets."""
+    parts = [spark.read.schema(_STATE).parquet(p).withColumn("n", F.lit(n)) for n, p in files.items()]
+    state = F.struct("EditTracker", "last_edit", "User")
+    return (
+        reduce(DataFrame.union, parts)
+        .groupBy("sheet", "row")
+        .agg(F.max_by(state, "n").alias("state"))
+        .select("sheet", "row", "state.*")
+    )
 
-def _write_batch(folder: str):
+
+_STATE = T.StructType(
+    [
+        T.StructField("sheet", T.StringType()),
+        T.StructField("row", T.IntegerType()),
+        T.StructField("EditTracker", T.StringType()),
+        T.StructField(
+            "last_edit", T.StructType([T.StructField("ts", T.TimestampType()), T.StructField("seq", T.LongType())])
+        ),
+        T.StructField("User", T.StringType()),
+    ]
+)
+
+
+def _write_batch(folder: str, compact_after: int):
     def write(batch: DataFrame, batch_id: int) -> None:
-        # A repeated batch overwrites its own folder, so a retry changes nothing.
-        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        # A repeated batch overwrites its own dataset, so a retry changes nothing.
+        batch.write.mode("overwrite").parquet(f"{folder}/states/batch={batch_id}")
+        snapshot, changes = _state_files(spark, folder)
+        if len(changes) >= compact_after:
+            # The snapshot counts once it is complete; what it replaces goes after that.
+            merged = _latest(spark, snapshot | changes)
+            merged.write.mode("overwrite").parquet(f"{folder}/states/snapshot={batch_id}")
+            _delete(spark, [*snapshot.values(), *changes.values()])
 
     return write
 
 
 def start_tracking(
-    edits: DataFrame, folder: str, spec: EditSpec = EditSpec(), available_now: bool = False
+    edits: DataFrame,
+    folder: str,
+    spec: EditSpec = EditSpec(),
+    available_now: bool = False,
+    compact_after: int = COMPACT_AFTER,
 ):
-    """A streaming query that writes the rows each micro-batch changed below ``folder``."""
+    """A streaming query that keeps the state of each edited row below ``folder``.
+
+    The folder must be one that all executors share. It holds the changes of fewer than
+    ``compact_after`` micro-batches and one snapshot: as much as there are edited rows, however
+    long the stream runs.
+    """
     writer = (
         track_edits(edits, spec)
         .writeStream.outputMode("update")
         .option("checkpointLocation", f"{folder}/checkpoint")
-        .foreachBatch(_write_batch(f"{folder}/states"))
+        .foreachBatch(_write_batch(folder, compact_after))
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def tracked_so_far(spark: SparkSession, folder: str) -> DataFrame:
-    """The latest state of each edited row in the folder of a tracking query."""
-    states = spark.read.parquet(f"{folder}/states")
-    state = F.struct("EditTracker", "last_edit", "User")
-    return (
-        states.groupBy("sheet", "row")
-        .agg(F.max_by(state, "batch_id").alias("state"))
-        .select("sheet", "row", "state.*")
-    )
+    """The latest state of each edited row in the folder of a tracking query; none before the first.
+
+    While the query runs, call it again if a snapshot took the files that it was about to read.
+    """
+    snapshot, changes = _state_files(spark, folder)
+    if not snapshot and not changes:
+        return spark.createDataFrame([], _STATE)
+    return _latest(spark, snapshot | changes)

@@ -1,5 +1,5 @@
 from datetime import datetime
-from types import SimpleNamespace
+from pathlib import Path
 
 import pytest
 
@@ -7,7 +7,6 @@ from termweave.streaming.edits import (
     EditSpec,
     flags,
     read_edit_stream,
-    scratch_folder,
     stamp_template,
     start_tracking,
     track_edits,
@@ -82,13 +81,28 @@ def test_stamp_template(spark):
     assert {tuple(r) for r in stamped.collect()} == {(2, "x", 1, "bob"), (4, "y", 7, None)}
 
 
-def session_like(settings, master):
-    return SimpleNamespace(conf=settings, sparkContext=SimpleNamespace(master=master))
+def test_no_rows_before_the_first_batch(spark, tmp_path):
+    assert found(tracked_so_far(spark, str(tmp_path))) == set()
 
 
-def test_scratch_folder_follows_the_cluster(spark):
-    assert scratch_folder(spark, "a") != scratch_folder(spark, "a")
-    shared = session_like({"spark.checkpoint.dir": "/shared/run/"}, "yarn")
-    assert scratch_folder(shared, "edits").startswith("/shared/run/edits-")
-    with pytest.raises(ValueError):
-        scratch_folder(session_like({}, "yarn"), "edits")
+def test_history_is_compacted(spark, tmp_path):
+    log, work = str(tmp_path / "log"), str(tmp_path / "work")
+    for k in range(7):
+        frame(spark, "edit_log", [edit(2 + k % 3, None, f"v{k}", f"user{k}", seq=k)]).write.mode("append").parquet(log)
+    read = read_edit_stream(spark, log, max_files=1)
+    start_tracking(read, work, SPEC, available_now=True, compact_after=3).awaitTermination()
+    left = sorted(p.name.partition("=")[0] for p in Path(work, "states").iterdir() if "=" in p.name)
+    assert left.count("snapshot") == 1 and left.count("batch") < 3
+    users = {r.row: r.User for r in tracked_so_far(spark, work).collect()}
+    whole = {r.row: r.User for r in track_edits(spark.read.parquet(log), SPEC).collect()}
+    assert users == whole and len(users) == 3
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    from termweave.streaming.edits import _write_batch
+
+    write = _write_batch(str(tmp_path), 3)
+    batches = [track_edits(frame(spark, "edit_log", [edit(2, None, "a", f"u{k}", seq=k)]), SPEC) for k in range(3)]
+    for k in (0, 0, 1, 1, 2, 2):  # the last one comes again after it was merged
+        write(batches[k], k)
+    assert found(tracked_so_far(spark, str(tmp_path))) == {("Main", 2, "1", "u2")}

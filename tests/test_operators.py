@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from termweave.operators.audit import any_sentinel, record_count_audit, sentinel_counts
+from termweave.operators.audit import record_count_audit, sentinel_counts
 from termweave.operators.match import matched_records, missing_records
 from termweave.operators.rollup import concat_per_record, dense_rank_values
 from termweave.operators.schools import school_crosswalk, with_schools
@@ -198,4 +198,3 @@ def test_audits(spark):
         ("T2", 1, 1),
     ]
     assert sentinel_counts(df, ["major"]).first().n_major_sentinels == 1
-    assert df.where(any_sentinel(["major"])).count() == 1

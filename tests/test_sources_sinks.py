@@ -1,10 +1,13 @@
-from datetime import date
+from contextlib import contextmanager
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
+from termweave.functions.dates import parse_yyyymmdd
 from termweave.plans.submission import SubmissionSpec, clearinghouse_submission, write_submission
-from termweave.sources.registry import MissingColumns, Sources, read_csv
+from termweave.sources.registry import MissingColumns, Sources, conform, read_csv
 from termweave.sources.schemas import SCHEMAS
 from termweave.sources.sinks import write_import
 from tests.fixtures import SCORECARD, frame
@@ -64,6 +67,57 @@ def test_csv_round_trip(spark, tmp_path):
     assert [r.asDict() for r in read] == rows
 
 
+VALUES = {
+    "string": "a,\"b\"", "bigint": 20220822, "int": 7, "double": 1.5, "boolean": True,
+    "date": date(2022, 8, 22), "timestamp": datetime(2022, 8, 22, 1, 2, 3),
+}
+
+
+@pytest.mark.parametrize("source", SCHEMAS)
+def test_every_schema_comes_back_from_csv(spark, tmp_path, source):
+    schema = SCHEMAS[source]
+    rows = [{f.name: VALUES[f.dataType.simpleString()] for f in schema}, {schema[0].name: VALUES[schema[0].dataType.simpleString()]}]
+    df = frame(spark, source, rows)
+    write_import(df, str(tmp_path / "csv"), "csv")
+    read = read_csv(spark, source, str(tmp_path / "csv"))
+    assert read.schema == df.schema
+    assert sorted(map(str, read.collect())) == sorted(map(str, df.collect()))
+
+
+@contextmanager
+def ansi(spark, on):
+    spark.conf.set("spark.sql.ansi.enabled", on)
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("on", ["true", "false"])
+def test_flags_and_numbers_as_text(spark, on):
+    names = [f.name for f in SCHEMAS["user"]]
+    with ansi(spark, on):
+        rows = [("1", "n", x) for x in ("Y", "yes", "TRUE", "1", "N", "No", "f", "0", " ", "", None)]
+        got = [r.is_active for r in conform(spark.createDataFrame(rows, names), "user").collect()]
+        assert got == [True] * 4 + [False] * 4 + [None] * 3
+        with pytest.raises(Exception, match="not a boolean: maybe"):
+            conform(spark.createDataFrame([("1", "n", "maybe")], names), "user").collect()
+        codes = spark.createDataFrame([("a", "12x", "b")], "INSTNM string, UNITID string, OPEID6 string")
+        with pytest.raises(Exception, match="not a bigint: 12x"):
+            conform(codes, "scorecard").collect()
+
+
+@pytest.mark.parametrize("on", ["true", "false"])
+@pytest.mark.parametrize("bad", ["20221316", "202206", "20220230", "0", "-20220101", "2022-08-22", "x"])
+def test_malformed_dates_raise(spark, on, bad):
+    with ansi(spark, on):
+        df = spark.createDataFrame([("20220822", None), (bad, None)], "d string, n string")
+        good = df.select(parse_yyyymmdd(F.col("d")).alias("d"), parse_yyyymmdd(F.col("n")).alias("n"))
+        assert [tuple(r) for r in good.limit(1).collect()] == [(date(2022, 8, 22), None)]
+        with pytest.raises(Exception):
+            good.collect()
+
+
 def test_csv_with_other_columns_fails(spark, tmp_path):
     path = tmp_path / "sheet.csv"
     path.write_text("UNITID,INSTNM,OPEID6\n1,a,2\n")
