@@ -1,5 +1,6 @@
 """Plans without broadcasts and with a hot key."""
 
+import re
 from contextlib import contextmanager
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from termweave.operators.match import missing_records
+from termweave.operators.sizes import small
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -39,7 +41,7 @@ def final_plan(df):
 @pytest.mark.parametrize(
     "name",
     ["degree_4yr_create", "enrolment_discrepancy", "next_term_fall", "region_visit_fanout",
-     "best_term_per_span", "changed_rows_new_only"],
+     "best_term_per_span", "changed_rows_new_only", "next_term_enrolment", "feed_term_short"],
 )
 def test_dimensions_too_large_to_broadcast(compiled, name):
     with settings(compiled, {"spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -49,6 +51,34 @@ def test_dimensions_too_large_to_broadcast(compiled, name):
         assert compare(df, duck(SF), entry.oracle_sql()[name]) == ""
 
 
+def test_short_term_names_take_one_scan_of_the_feed(compiled):
+    plan = final_plan(entry.queries()["feed_term_short"](compiled, SF))
+    # the feed and the student records stand in for each other's source once each
+    assert plan.count("lineitem.parquet") == 2
+    assert not re.search(r"Join \[[^]]*nsc_date_concat", plan)
+
+
+def test_rows_are_distinct_before_they_meet_states(compiled):
+    df = entry.queries()["enrolment_discrepancy"](compiled, SF)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    join = re.search(r"\n[^\n]*Join Inner, \(contact_id_nsc#\d+ = state_contact#\d+\)", plan)
+    assert "Aggregate" not in plan[: join.start()] and "Aggregate" in plan[join.end() :]
+
+
+def test_records_without_a_calendar_are_left_out_before_the_join(compiled):
+    plan = entry.queries()["next_term_fall"](compiled, SF)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("school_calendar") :]
+    assert re.search(r"NOT CASE WHEN Contains.*\(Quarter\)", below)
+
+
+def test_a_table_is_small_up_to_its_bound(compiled):
+    ten = compiled.range(10)
+    big = compiled.range(10_000_000)
+    assert "BroadcastHashJoin" in final_plan(big.join(small(ten.groupBy("id").count(), 10), "id"))
+    with settings(compiled, {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "1b"}):
+        assert "BroadcastHashJoin" not in final_plan(big.join(small(ten.groupBy("id").count(), 9), "id"))
+
+
 def test_a_hot_student_is_split(compiled):
     with settings(compiled, SPLIT_HOT_KEYS):
         feed = compiled.range(0, 60000, numPartitions=12).select(
