@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and the SQL that checks them."""
+"""The registered queries of this subpackage and the SQL that checks them, where SQL can."""
 
 from __future__ import annotations
 
@@ -28,6 +28,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_REACHED = """
+    , reached AS (
+        SELECT {id} AS node, {id} AS root FROM nodes
+        UNION
+        SELECT links.b, root FROM reached JOIN links ON links.a = node
+    ),
+    classes AS (SELECT node, min(root) AS component_id FROM reached GROUP BY node)
+"""
+
+ORACLES["op1_inverted_multi_index"] = f"""
+    WITH RECURSIVE nodes AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    fit AS (SELECT * FROM nodes WHERE list_dot_product(v, v) > 0 AND isfinite(list_dot_product(v, v))),
+    links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM fit x JOIN fit y
+            ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.v, y.v) >= 0.95
+    )
+    {_REACHED.format(id="vec_id")}
+    SELECT node AS vec_id, (SELECT count(*) FROM links WHERE a = node) AS n_links, component_id,
+        node = component_id AS kept
+    FROM classes
+"""
+
+ORACLES["op8_jaccard_tiles"] = f"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x20\\x09-\\x0D]+') AS w
+        FROM documents
+    ),
+    nodes AS (
+        SELECT doc_id, CASE WHEN len(w) >= 5
+            THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' '))))
+            WHEN len(w) > 0 THEN [hash(array_to_string(w, ' '))] ELSE [] END AS s
+        FROM words
+    ),
+    items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM nodes),
+    links AS (
+        SELECT x.doc_id AS a, y.doc_id AS b
+        FROM items x JOIN items y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+        GROUP BY x.doc_id, y.doc_id, x.n, y.n
+        HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+    )
+    {_REACHED.format(id="doc_id")}
+    SELECT doc_id, len(s) AS n_shingles, component_id FROM nodes JOIN classes ON node = doc_id
+"""
+
+
 @query
 def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
