@@ -1,5 +1,7 @@
 """Single operators over the driver tables."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from catalogue.registry import query
@@ -662,27 +664,50 @@ _WORDS = r"""
 """
 
 
-@query(rf"""
+# Character by character, without the patterns of the functions that it checks. Letters of the
+# documents are those with two cases, and the one that has no capital.
+_IS_LETTER = "(upper(c) <> lower(c) OR c IN ('ß', '_'))"
+_IS_WORD = f"({_IS_LETTER} OR c BETWEEN '0' AND '9')"
+
+
+def _kept(text: str, condition: str) -> str:
+    return f"array_to_string(list_filter(string_split({text}, ''), lambda c: {condition}), '')"
+
+
+def _dotted(chars: str, at: str) -> str:
+    """Whether the character at a place is an initial, which a dot follows."""
+    return f"({re.sub(r'\bc\b', f'{chars}[{at}]', _IS_WORD)} AND {chars}[{at} + 1] = '.')"
+
+
+@query(f"""
     WITH {_WORDS},
     parts AS (
-        SELECT word, upper(replace(word, 'ß', 'ss')) AS last_name, word || ' ' || left(word, 1) || '.' AS first_name,
-            word || '7' AS middle_name
+        SELECT word, upper(replace(word, 'ß', 'ss')) AS last_name,
+            string_split(word || ' ' || left(word, 1) || '.', '') AS chars, word || '7' AS middle_name
         FROM words
-    )
-    SELECT word,
-        nullif(regexp_replace(regexp_extract(last_name,
-            '((Jr|Jr.|I{{1,3}}|IV|V|VI|VII|VIII|IX)$)', 1), '[^\p{{L}}\p{{Nl}}\p{{No}}_]+', '', 'g'), '')
-            AS suffix,
-        regexp_replace(replace(regexp_replace(last_name,
-            '((Jr|Jr.|I{{1,3}}|IV|V|VI|VII|VIII|IX)$)', ''), '''', ' '),
-            '[^\p{{L}}\p{{N}}_\s\x0b\x1c-\x1f\x{{85}}\p{{Z}}-]', '', 'g') AS last_name,
-        upper(replace(left(coalesce(
-            nullif(regexp_extract(first_name, '([\p{{L}}\p{{N}}_]\.)', 1), ''),
-            nullif(regexp_replace(middle_name, '[^\p{{L}}\p{{Nl}}\p{{No}}_]+', '', 'g'), '')), 1),
-            'ß', 'ss')) AS middle_initial,
-        regexp_replace(replace(regexp_replace(first_name, '([\p{{L}}\p{{N}}_]\.)', '', 'g'),
-            '''', ' '), '[^\p{{L}}\p{{N}}_\s\x0b\x1c-\x1f\x{{85}}\p{{Z}}-]', '', 'g') AS first_name
-    FROM parts
+    ),
+    cut AS (
+        SELECT *, CASE WHEN ends_with(last_name, 'VIII') THEN 4
+            WHEN left(right(last_name, 3), 2) = 'Jr' AND length(last_name) > 2 THEN 3
+            WHEN ends_with(last_name, 'III') OR ends_with(last_name, 'VII') THEN 3
+            WHEN right(last_name, 2) IN ('Jr', 'II', 'IV', 'VI', 'IX') THEN 2
+            WHEN right(last_name, 1) IN ('I', 'V') THEN 1 ELSE 0 END AS n,
+            list_filter(range(1, len(chars) + 1), lambda i: {_dotted("chars", "i")}) AS initials
+        FROM parts
+    ),
+    spelled AS (
+        SELECT *, array_to_string(list_transform(
+            list_filter(range(1, len(chars) + 1),
+                lambda i: NOT list_contains(initials, i) AND NOT list_contains(initials, i - 1)),
+            lambda i: chars[i]), '') AS bare
+        FROM cut
+    )
+    SELECT word, CASE WHEN n > 0 THEN {_kept("right(last_name, n)", _IS_LETTER)} END AS suffix,
+        {_kept("replace(left(last_name, length(last_name) - n), chr(39), ' ')", _IS_WORD + " OR c IN (' ', '-')")} AS last_name,
+        upper(replace(coalesce(chars[initials[1]],
+            nullif(left({_kept("middle_name", _IS_LETTER)}, 1), '')), 'ß', 'ss')) AS middle_initial,
+        {_kept("replace(bare, chr(39), ' ')", _IS_WORD + " OR c IN (' ', '-')")} AS first_name
+    FROM spelled
 """)
 def name_clean(spark, sf):
     word = F.col("word")
