@@ -96,7 +96,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Bpe:
     """A vocabulary of ranks, with what decides whether two tokens may stand side by side."""
 
-    def __init__(self, ranks: dict[bytes, int], bits: int = 22):
+    def __init__(self, ranks: dict[bytes, int], bits: int = 21):
         self.ranks, size = ranks, max(ranks.values()) + 1
         self.bytes_of = np.zeros(size, object)
         for token, rank in ranks.items():

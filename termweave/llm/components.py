@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         drop(edges)
         edges = new
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
+        if now == before or not now[0]:
             break
         before = now
     # every node but the roots has one edge now, to its root

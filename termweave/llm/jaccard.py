@@ -1,12 +1,14 @@
 """Documents whose sets of word n-grams have a Jaccard similarity of ``LINK`` or more, all of them.
 
 1. Equal sets are one set from the start (``sid``, a hash of the whole set).
-2. A set's shingles are ordered: rare ones first, those that more than ``HOT`` prefixes begin with
-   last. Two similar sets share a shingle among the first fifth of either, and the smaller among its
-   first ninth. Sets meet in the tiles of these shingles, in bands of their size.
-3. In each tile and band, all sets are first held against one of them: a star. Tiles whose sets are
-   in one component by then are done; in the others every pair of sets from two components is held
-   against each other. No pair within a component is made.
+2. Stars: sets that share one of the smallest of their hashes, and a band of sizes, are held against
+   one of them, another one in each round. This costs as much as there are sets, and joins most of
+   what is similar.
+3. Tiles: a set's shingles are ordered, rare ones first, those that more than ``HOT`` prefixes begin
+   with last. Two similar sets share a shingle among the first fifth of either, and the smaller among
+   its first ninth. Tiles of such a shingle whose sets are in one component by then are done; in the
+   others every pair of sets from two components is held against each other, within the band of
+   sizes that can be similar. No pair within a component is made.
 4. Of each pair, the numbers of bits by which their hashed bitmaps differ bound the overlap from
    above; only pairs that pass have their sorted arrays intersected.
 
@@ -24,13 +26,16 @@ from pyspark.sql import functions as F
 
 from termweave.llm import text as T
 from termweave.llm.components import components
-from termweave.llm.shared import stage
+from termweave.llm.shared import drop, stage, tidy
+from termweave.llm.sieve import Sieve
 
 SIZE, LINK = 5, (80, 100)
 #: Prefixes that may begin with a shingle before it is put last; how many such shingles are told apart.
 HOT, HOT_MOST = 64, 1 << 20
-WORDS_OF_BITS = 8
-STARS = 2
+#: Longs of a bitmap: the power of two that gives a set two bits for each shingle, within these bounds.
+LONGS = (8, 128)
+#: Rounds of stars, and the smallest hashes that a round takes.
+STARS, SMALLEST = 2, 6
 _U = np.uint64
 
 
@@ -84,19 +89,19 @@ def hot_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
     """
 
     def run(batches):
-        for batch in T.chunked(batches, "text", 4 * T.CHUNK):
+        for batch in T.chunked(batches, "text"):
             key, who = sets(T.Flat.of(batch.column("text")))
             n = np.bincount(who, minlength=batch.num_rows)
             key, times = np.unique(_prefixes(key, who, n, None)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(times)], names=["key", "n"])
 
     counts = docs.select(F.col(text).alias("text")).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") > HOT).orderBy(F.desc("n"), "key").limit(HOT_MOST).collect()
-    return np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    rows = counts.where(F.col("n") > HOT).orderBy(F.desc("n"), "key").limit(HOT_MOST).toArrow()
+    return rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
 
 
 def summaries(docs: DataFrame, hot, id: str, text: str) -> DataFrame:
-    """id, n, sid, bitmap and prefix of each row's set."""
+    """id, n, sid, bitmap, prefix and smallest hashes of each row's set."""
     src = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
@@ -110,23 +115,27 @@ def summaries(docs: DataFrame, hot, id: str, text: str) -> DataFrame:
             n = np.bincount(who, minlength=rows)
             row = table.find(key)
             rank = np.where(row >= 0, hot_counts[row] if len(hot_counts) else 0, 0)
-            bits = np.zeros((rows, WORDS_OF_BITS), np.uint64)
-            place = key % _U(64 * WORDS_OF_BITS)
-            np.bitwise_or.at(bits, (who, (place // _U(64)).astype(np.int64)), _U(1) << (place % _U(64)))
+            longs = np.clip(2 ** np.ceil(np.log2(np.maximum(n, 1) / 32)), *LONGS).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(longs)])
+            bits = np.zeros(ends[-1], np.uint64)
+            place = key % (64 * longs[who]).astype(np.uint64)
+            np.bitwise_or.at(bits, ends[who] + (place // _U(64)).astype(np.int64), _U(1) << (place % _U(64)))
             prefix, of = _prefixes(key, who, n, rank)
+            small = np.arange(len(key)) - np.repeat(np.cumsum(n) - n, n) < STARS * SMALLEST
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     pa.array(n),
                     pa.array(_sids(key, who, n)),
-                    _lists(bits.reshape(-1).view(np.int64), np.arange(rows + 1) * WORDS_OF_BITS),
+                    _lists(bits.view(np.int64), ends),
                     _lists(prefix.view(np.int64), _first(of, rows)),
+                    _lists(key[small].view(np.int64), _first(who[small], rows)),
                 ],
-                names=["id", "n", "sid", "bitmap", "prefix"],
+                names=["id", "n", "sid", "bitmap", "prefix", "smallest"],
             )
 
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, n long, sid long, bitmap array<long>, prefix array<long>")
+    return src.mapInArrow(run, f"id {kind}, n long, sid long, bitmap array<long>, prefix array<long>, smallest array<long>")
 
 
 def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -134,30 +143,42 @@ def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
 
 
 def arrays(docs: DataFrame, wanted: DataFrame, id: str, text: str) -> DataFrame:
-    """rid and sorted shingles of the wanted sets (rid, id of a document that has it, sid)."""
-    src = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(wanted, "id")
+    """sid and sorted shingles of the wanted sets (sid, id of a document that has it), and of a few others."""
+    src = docs.where(F.col(id).isNotNull()).select(F.col(id).alias("id"), F.col(text).alias("text"))
+    ids = docs.sparkSession.sparkContext.broadcast(Sieve.of(wanted, F.xxhash64("id")))
 
     def run(batches):
-        for batch in T.chunked(batches, "text"):
+        for whole in T.chunked(batches, "text"):
+            batch = whole.filter(pa.array(ids.value.passes(whole.column("hash").to_numpy())))
             key, who = sets(T.Flat.of(batch.column("text")))
             n = np.bincount(who, minlength=batch.num_rows)
             lists = _lists(key.view(np.int64), _first(who, batch.num_rows))
-            # an id may have several texts: only the one that has the set counts
-            same = pa.array(_sids(key, who, n) == batch.column("sid").to_numpy())
-            out = pa.RecordBatch.from_arrays([batch.column("rid"), lists], names=["rid", "shingles"])
-            yield out.filter(same)
+            yield pa.RecordBatch.from_arrays([pa.array(_sids(key, who, n)), lists], names=["sid", "shingles"])
 
-    return src.select("rid", "sid", "text").mapInArrow(run, "rid long, shingles array<long>")
+    return src.withColumn("hash", F.xxhash64("id")).select("hash", "text").mapInArrow(run, "sid long, shingles array<long>")
 
 
-def similar(pairs: DataFrame, found: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) those that are similar: bitmaps first, then sorted arrays."""
-    side = lambda c: sizes.select(F.col("rid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"bits_{c}"))
+def possible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) those whose bitmaps leave room for enough overlap."""
+    side = lambda c: sizes.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"bits_{c}"))
     pairs = pairs.join(side("a"), "a").join(side("b"), "b")
-    differ = sum((F.bit_count(F.col("bits_a")[k].bitwiseXOR(F.col("bits_b")[k])) for k in range(WORDS_OF_BITS)), F.lit(0))
+
+    def halved(c):
+        """The bitmap of the same set with half as many bits."""
+        half = (F.size(c) / 2).cast("int")
+        return F.zip_with(F.slice(c, 1, half), F.slice(c, half + 1, half), lambda x, y: x.bitwiseOR(y))
+
+    # similar sets are so close in size that their bitmaps are as long, or one is twice as long
+    a, b = F.col("bits_a"), F.col("bits_b")
+    a, b = F.when(F.size(a) > F.size(b), halved(a)).otherwise(a), F.when(F.size(b) > F.size(a), halved(b)).otherwise(b)
+    differ = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     both = F.col("n_a") + F.col("n_b")
-    pairs = pairs.where((both - differ) * (LINK[0] + LINK[1]) >= both * (2 * LINK[0])).select("a", "b")
-    held = lambda c: found.select(F.col("rid").alias(c), F.col("shingles").alias(f"set_{c}"))
+    return pairs.where((both - differ) * (LINK[0] + LINK[1]) >= both * (2 * LINK[0])).select("a", "b")
+
+
+def similar(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) those whose sorted arrays have enough in common."""
+    held = lambda c: found.select(F.col("sid").alias(c), F.col("shingles").alias(f"set_{c}"))
     pairs = pairs.join(held("a"), "a").join(held("b"), "b")
 
     def run(batches):
@@ -182,51 +203,22 @@ def _arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_shingles and component_id (the smallest id that links reach) of each row."""
     spark = docs.sparkSession
-    members = stage(summaries(docs, hot_shingles(docs, text), id, text))
+    hot = hot_shingles(docs, text)
+    tidy(spark)
+    members = stage(summaries(docs, hot, id, text))
     real = members.where("n > 0 and id is not null")
-    reps = real.groupBy("sid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix"))
-    reps = stage(reps.withColumn("rid", F.monotonically_increasing_id()))
-    sizes = reps.select("rid", "n", "bitmap")
-    rows = reps.select("rid", "n", F.posexplode("prefix").alias("pos", "key"))
-    common = rows.groupBy("key").count().where("count > 1").select("key")
-    # whoever is in the smaller set's first ninth can be met by larger sets
-    base = float(np.log(LINK[1] / LINK[0]))
-    tiles = stage(
-        rows.join(common, "key").select(
-            "key", "rid", "n", "pos",
-            F.floor(F.log(F.col("n").cast("double")) / base).cast("int").alias("band"),
-            (F.col("pos") * (LINK[0] + LINK[1]) <= F.col("n") * (LINK[1] - LINK[0])).alias("near"),
-        )
-    )
-    wanted = reps.join(tiles.select("rid").distinct(), "rid", "left_semi").select("rid", "id", "sid")
-    found = stage(arrays(docs, wanted, id, text))
-    links = spark.createDataFrame([], "a long, b long")
-    open_tiles = tiles.withColumn("c", F.col("rid"))
+    sizes = stage(real.groupBy("sid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("smallest").alias("smallest")))
+    links, joined = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "node long, root long")
     for k in range(STARS):
-        # a tile's centre: another one in each round
-        turn = F.struct(F.xxhash64("rid", F.lit(k)).alias("turn"), F.col("rid").alias("centre"), F.col("c").alias("own"))
-        middle = open_tiles.where("near").groupBy("key", "band").agg(F.min(turn).alias("m"))
-        middle = middle.select("key", "band", "m.centre", "m.own")
-        pairs = open_tiles.select("key", "band", "rid", "c").join(middle, ["key", "band"]).where("c <> own")
-        pairs = pairs.select(F.least("rid", "centre").alias("a"), F.greatest("rid", "centre").alias("b")).distinct()
-        links = stage(links.union(similar(pairs, found, sizes)))
-        open_tiles = stage(_unjoined(tiles, components(links)))
-    x, y = (
-        open_tiles.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n", "pos", "c")), F.col("near").alias(f"near_{s}"))
-        for s in "xy"
-    )
-    least = F.ceil((F.col("n_x") + F.col("n_y")) * LINK[0] / (LINK[0] + LINK[1]))
-    pairs = x.where("near_x").join(y, "key").where(
-        (F.col("c_x") != F.col("c_y"))
-        & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("rid_x") < F.col("rid_y"))))
-        & (F.col("n_y") * LINK[0] <= F.col("n_x") * LINK[1])
-        # if this is the first shingle that they share, what is left of either must be enough
-        & (F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) >= least)
-    )
-    pairs = pairs.select(F.col("rid_x").alias("a"), F.col("rid_y").alias("b")).distinct()
-    links = stage(links.union(similar(pairs, found, sizes)))
-    joined = components(links).withColumnRenamed("node", "rid")
-    owned = reps.select("rid", "id", "sid").join(joined, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+        before, labels = links, joined
+        links = stage(before.union(_held(_star(sizes, labels, k), sizes, docs, id, text)))
+        joined = stage(components(links))
+        drop(before, labels)
+    before, labels = links, joined
+    links = stage(before.union(_held(_across(real, labels), sizes, docs, id, text)))
+    joined = stage(components(links))
+    drop(before, labels, links)
+    owned = sizes.select("sid", "id").join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     smallest = owned.groupBy("root").agg(F.min("id").alias("component_id"))
     named = owned.join(smallest, "root").select("sid", "component_id")
     out = real.select("id", "n", "sid").join(named, "sid").select("id", "n", "component_id")
@@ -234,8 +226,70 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     return out.union(rest).select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _unjoined(tiles: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows of tiles in which more than one component is left, c: each row's component."""
-    known = tiles.join(joined.withColumnRenamed("node", "rid"), "rid", "left").withColumn("c", F.coalesce("root", "rid")).drop("root")
-    left = known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    return known.join(left, "key")
+def _held(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+    """Of the pairs (a, b) of sids the similar ones; arrays are made of the sets that occur in them."""
+    pairs = stage(possible(pairs, sizes))
+    tidy(docs.sparkSession)
+    if pairs.isEmpty():
+        return pairs
+    used = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
+    wanted = stage(sizes.select("sid", "id").join(used, "sid"))
+    found = stage(arrays(docs, wanted, id, text))
+    links = stage(similar(pairs, found))
+    drop(pairs, wanted, found)
+    tidy(docs.sparkSession)
+    return links
+
+
+def _labelled(sets: DataFrame, joined: DataFrame) -> DataFrame:
+    """c: the component of each set so far."""
+    return sets.join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("c", F.coalesce("root", "sid")).drop("root")
+
+
+def _star(sizes: DataFrame, joined: DataFrame, k: int) -> DataFrame:
+    """Pairs of a set and the centre of each of its stars, where their components differ."""
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(LINK[1] / LINK[0])) + k / STARS)
+    keys = F.explode(F.slice("smallest", k * SMALLEST + 1, SMALLEST)).alias("key")
+    rows = _labelled(sizes.select("sid", "n", "smallest"), joined).select("sid", "c", band.alias("band"), keys)
+    turn = F.struct(F.xxhash64("sid", F.lit(k)).alias("turn"), F.col("sid").alias("centre"), F.col("c").alias("own"))
+    middle = rows.groupBy("key", "band").agg(F.min(turn).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    middle = middle.where("lo <> hi").select("key", "band", "m.centre", "m.own")
+    pairs = rows.join(middle, ["key", "band"]).where("c <> own")
+    return pairs.select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b")).distinct()
+
+
+def _across(real: DataFrame, joined: DataFrame) -> DataFrame:
+    """Pairs of sets from two components that share a shingle where similar sets must."""
+    spark = real.sparkSession
+    # shingles that begin two documents or more; most begin one
+    open_ = stage(real.select(F.explode("prefix").alias("key")).groupBy("key").count().where("count > 1").select("key"))
+    sieve = spark.sparkContext.broadcast(Sieve.of(open_, F.col("key")))
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("prefix")
+            key = lists.flatten().to_numpy()
+            size = np.diff(lists.offsets.to_numpy())
+            who = np.repeat(np.arange(len(size)), size)
+            pos = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
+            take = sieve.value.passes(key)
+            out = [batch.column(c).take(pa.array(who[take])) for c in ("sid", "n")]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(key[take]), pa.array(pos[take])], names=["sid", "n", "key", "pos"])
+
+    rows = real.select("sid", "n", "prefix").mapInArrow(run, "sid long, n long, key long, pos long")
+    tiles = stage(_labelled(rows.distinct(), joined))
+    left = tiles.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    tiles = tiles.join(left, "key")
+    tiles = stage(tiles.withColumn("near", F.col("pos") * (LINK[0] + LINK[1]) <= F.col("n") * (LINK[1] - LINK[0])))
+    drop(open_)
+    tidy(spark)
+    x, y = (tiles.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "pos", "c", "near"))) for s in "xy")
+    least = F.ceil((F.col("n_x") + F.col("n_y")) * LINK[0] / (LINK[0] + LINK[1]))
+    pairs = x.where("near_x").join(y, "key").where(
+        (F.col("c_x") != F.col("c_y"))
+        & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("sid_x") < F.col("sid_y"))))
+        & (F.col("n_y") * LINK[0] <= F.col("n_x") * LINK[1])
+        # if this is the first shingle that they share, what is left of either must be enough
+        & (F.least(F.col("n_x") - F.col("pos_x"), F.col("n_y") - F.col("pos_y")) >= least)
+    )
+    return pairs.select(F.col("sid_x").alias("a"), F.col("sid_y").alias("b")).distinct()

@@ -188,7 +188,7 @@ def predicted(docs: DataFrame, model: BiGru | None, keep: tuple[str, ...], text:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        model, memo = shared.value, T.Memo(21)
+        model, memo = shared.value, T.Memo(20)
         for batch in T.chunked(batches, "_text"):
             flat = T.Flat.of(batch.column("_text"))
             n = len(flat)

@@ -41,13 +41,9 @@ _STATE = np.where(_NAME, np.cumsum(_NAME), 0)
 
 def runs(flat: T.Flat, member: np.ndarray, least: int) -> T.Spans:
     """Maximal runs of member bytes within a text, of ``least`` bytes at least."""
-    inside = member[flat.data]
-    edge = np.zeros(len(inside) + 1, bool)
-    edge[flat.bounds] = True
-    begins = np.flatnonzero(inside & (edge[:-1] | ~np.append(False, inside[:-1])[: len(inside)]))
-    ends = np.flatnonzero(inside & (edge[1:] | ~np.append(inside[1:], False)[: len(inside)])) + 1
-    long = ends - begins >= least
-    return T.Spans(begins[long], ends[long], np.searchsorted(flat.bounds, begins[long], "right") - 1)
+    found = T.runs(flat, member)
+    long = found.ends - found.starts >= least
+    return T.Spans(found.starts[long], found.ends[long], found.doc[long])
 
 
 def rule_spans(flat: T.Flat) -> list[tuple[int, int, int, int, int, int]]:

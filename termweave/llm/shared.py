@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -31,14 +32,23 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop(df: DataFrame) -> None:
-    """Deletes the files of a staged table that nothing reads any more."""
-    spark = df.sparkSession
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+def drop(*tables: DataFrame) -> None:
+    """Deletes the files of staged tables that nothing reads any more."""
+    spark = tables[0].sparkSession
+    for path in {f.rpartition("/")[0] for df in tables for f in df.inputFiles()}:
         if f"/termweave-{spark.sparkContext.applicationId}/" in f"{path}/":
             _delete(spark, path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark delete the files of finished shuffles that nothing on the driver refers to any more.
+
+    It does so by itself when the driver collects its garbage, which may be long after the disks are full.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def clear(spark: SparkSession) -> None:
     """Deletes all that this application staged."""
     _delete(spark, folder(spark))
@@ -49,8 +59,16 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Bytes of an Arrow batch: a JVM and a Python worker hold several at once for each core.
+BATCH = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package's code to the executors, once, as ``--py-files`` would."""
+    """Readies a session: small Arrow batches, and this package's code on the executors.
+
+    The code is sent once, as ``--py-files`` would.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     context = spark.sparkContext
     if _shipped.get("to") == context.applicationId:
         return

@@ -6,6 +6,8 @@ share a hash with probability n * n / 2 ** 65: 1e-7 for two million, 3e-3 for 30
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; a longer text is taken alone, whole.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1
@@ -115,9 +117,9 @@ class Spans:
         return np.concatenate([[0], np.cumsum(self.per_doc(texts))])
 
 
-def words(flat: Flat) -> Spans:
-    """Runs of bytes other than blank, tab, line feed, vertical tab, form feed, return."""
-    inside = ~SPACE[flat.data]
+def runs(flat: Flat, member: np.ndarray) -> Spans:
+    """Maximal runs of member bytes within a text; member: whether each of the 256 bytes is one."""
+    inside = member[flat.data]
     inner = flat.bounds[(flat.bounds > 0) & (flat.bounds < len(inside))]
     begins, closes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -128,6 +130,11 @@ def words(flat: Flat) -> Spans:
     return Spans(starts, np.flatnonzero(closes) + 1, np.searchsorted(flat.bounds, starts, "right") - 1)
 
 
+def words(flat: Flat) -> Spans:
+    """Runs of bytes other than blank, tab, line feed, vertical tab, form feed, return."""
+    return runs(flat, ~SPACE)
+
+
 def lines(flat: Flat) -> Spans:
     """What lies between line feeds and the ends of each text; empty texts have one line."""
     cuts = np.flatnonzero(flat.data == 10)
@@ -175,6 +182,14 @@ def chunked(batches, column: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch
         for a, b in zip(cuts, cuts[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+    release()
+
+
+def release() -> None:
+    """Gives free memory back to the system: a Python worker stays for the executor's next tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 class SlotTable:

@@ -8,7 +8,7 @@ Labels say whether a text is toxic, not how much. Toxic training texts are grade
 marked words they have (words that the labels show to be frequent in toxic texts and rare in
 others), in shares as equal as ties allow.
 
-Features are hashed words and beginnings of words, counted; only those that tell toxic from other
+Features are hashed words (runs of letters) and beginnings of words, counted; only those that tell toxic from other
 training texts by ``SUPPORT`` and ``ODDS`` are used, ``FEATURES`` at most. Training takes ``SAMPLE``
 labelled rows in the mean, drawn by a hash of the id; whole texts are read then and in prediction.
 
@@ -25,15 +25,23 @@ from pyspark.sql import functions as F
 
 from termweave.llm import text as T
 
-GRADES, SAMPLE, FEATURES, SUPPORT, ODDS, LEAST = 3, 20_000, 4096, 8, 3.0, 0.5
+GRADES, SAMPLE, FEATURES, SUPPORT, ODDS, LEAST = 3, 20_000, 4096, 4, 3.0, 0.5
 #: Bytes of the beginnings of words that are features beside whole words.
 HEADS = (4, 5, 6)
 _U = np.uint64
 
 
+_LETTER = np.isin(np.arange(256), [*range(65, 91), *range(97, 123), *range(128, 256)])
+
+
+def words(flat: T.Flat) -> T.Spans:
+    """Runs of ASCII letters and of other scripts' characters."""
+    return T.runs(flat, _LETTER)
+
+
 def features(flat: T.Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and text of each feature, and the word that it belongs to; ASCII letters lower-cased."""
-    w, sums = T.words(flat), flat.sums(lower=True)
+    w, sums = words(flat), flat.sums(lower=True)
     keys, doc, word = [T.slice_hash(sums, w.starts, w.ends)], [w.doc], [np.arange(len(w))]
     for n in HEADS:
         long = np.flatnonzero(w.ends - w.starts > n)
@@ -58,13 +66,12 @@ class Ordinal:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds, -500, 500)))
 
     @staticmethod
-    def train(keys, doc, column, value, grade, rounds: int = 400, ridge: float = 1e-4) -> Ordinal:
+    def train(keys, doc, column, value, grade, rounds: int = 400, ridge: float = 3e-5) -> Ordinal:
         """Maximum likelihood by Adam; (doc, column, value) are the features of each text."""
         n, k = len(grade), GRADES
         weight = np.zeros(len(keys))
         raw = np.array([1.0, *np.zeros(k - 1)])  # first threshold, logs of the steps to the next
         state = [np.zeros(len(weight) + k), np.zeros(len(weight) + k)]
-        balance = np.where(grade > 0, 0.5 / max((grade > 0).mean(), 1e-9), 0.5 / max((grade == 0).mean(), 1e-9)) / n
         for step in range(1, rounds + 1):
             model = Ordinal(keys, weight, np.cumsum([raw[0], *np.exp(raw[1:])]))
             score = np.bincount(doc, weight[column] * value, n)
@@ -72,7 +79,7 @@ class Ordinal:
             at = np.arange(n)
             a, b = up[at, grade], up[at, grade + 1]
             p = np.maximum(a - b, 1e-12)
-            da, db = a * (1 - a) / p * balance, b * (1 - b) / p * balance  # by the two thresholds of a grade
+            da, db = a * (1 - a) / p / n, b * (1 - b) / p / n  # by the two thresholds of a grade
             dscore = db - da
             grad = np.bincount(column, dscore[doc] * value, len(weight)) + ridge * weight
             bound = np.zeros(k + 2)
@@ -146,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
             column = table.find(found)
             hit = column >= 0
             marked = np.unique(word[hit])
-            amount = np.bincount(T.words(flat).doc[marked], minlength=len(flat))
+            amount = np.bincount(words(flat).doc[marked], minlength=len(flat))
             order = np.argsort(doc[hit], kind="stable")
             ends = np.cumsum([0, *np.bincount(doc[hit], minlength=len(flat))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(column[hit][order]))
