@@ -6,9 +6,10 @@
    what is similar.
 3. Tiles: a set's shingles are ordered, rare ones first, those that more than ``HOT`` prefixes begin
    with last. Two similar sets share a shingle among the first fifth of either, and the smaller among
-   its first ninth. Tiles of such a shingle whose sets are in one component by then are done; in the
-   others every pair of sets from two components is held against each other, within the band of
-   sizes that can be similar. No pair within a component is made.
+   its first ninth. Tiles of such a shingle whose sets are in one component by then are done. In the
+   others the sets are held against one of them, another one in each round and tile; in what is open
+   then, every pair of sets from two components is held against each other, within the band of sizes
+   that can be similar. No pair within a component is made.
 4. Of each pair, the numbers of bits by which their hashed bitmaps differ bound the overlap from
    above; only pairs that pass have their sorted arrays intersected.
 
@@ -34,8 +35,8 @@ SIZE, LINK = 5, (80, 100)
 HOT, HOT_MOST = 64, 1 << 20
 #: Longs of a bitmap: the power of two that gives a set two bits for each shingle, within these bounds.
 LONGS = (8, 128)
-#: Rounds of stars, and the smallest hashes that a round takes.
-STARS, SMALLEST = 2, 6
+#: Rounds of stars on smallest hashes and in tiles, and the smallest hashes that a round takes.
+STARS, TILE_STARS, SMALLEST = 1, 2, 8
 _U = np.uint64
 
 
@@ -214,10 +215,16 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         links = stage(before.union(_held(_star(sizes, labels, k), sizes, docs, id, text)))
         joined = stage(components(links))
         drop(before, labels)
-    before, labels = links, joined
-    links = stage(before.union(_held(_across(real, labels), sizes, docs, id, text)))
-    joined = stage(components(links))
-    drop(before, labels, links)
+    tiles = _tiles(real)
+    for k in range(TILE_STARS + 1):
+        before, labels, meeting = links, joined, _open(tiles, joined)
+        if meeting.isEmpty():
+            break
+        pairs = _tile_star(meeting, k) if k < TILE_STARS else _across(meeting)
+        links = stage(before.union(_held(pairs, sizes, docs, id, text)))
+        joined = stage(components(links))
+        drop(before, labels, meeting)
+    drop(links, tiles)
     owned = sizes.select("sid", "id").join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     smallest = owned.groupBy("root").agg(F.min("id").alias("component_id"))
     named = owned.join(smallest, "root").select("sid", "component_id")
@@ -258,8 +265,8 @@ def _star(sizes: DataFrame, joined: DataFrame, k: int) -> DataFrame:
     return pairs.select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b")).distinct()
 
 
-def _across(real: DataFrame, joined: DataFrame) -> DataFrame:
-    """Pairs of sets from two components that share a shingle where similar sets must."""
+def _tiles(real: DataFrame) -> DataFrame:
+    """key, sid, n, pos and near: sets by each shingle where similar sets must meet, if two documents have it."""
     spark = real.sparkSession
     # shingles that begin two documents or more; most begin one
     open_ = stage(real.select(F.explode("prefix").alias("key")).groupBy("key").count().where("count > 1").select("key"))
@@ -277,12 +284,31 @@ def _across(real: DataFrame, joined: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*out, pa.array(key[take]), pa.array(pos[take])], names=["sid", "n", "key", "pos"])
 
     rows = real.select("sid", "n", "prefix").mapInArrow(run, "sid long, n long, key long, pos long")
-    tiles = stage(_labelled(rows.distinct(), joined))
-    left = tiles.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    tiles = tiles.join(left, "key")
-    tiles = stage(tiles.withColumn("near", F.col("pos") * (LINK[0] + LINK[1]) <= F.col("n") * (LINK[1] - LINK[0])))
+    near = F.col("pos") * (LINK[0] + LINK[1]) <= F.col("n") * (LINK[1] - LINK[0])
+    tiles = stage(rows.distinct().withColumn("near", near))
     drop(open_)
     tidy(spark)
+    return tiles
+
+
+def _open(tiles: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows of the tiles that hold more than one component, c: each row's component."""
+    known = _labelled(tiles, joined)
+    left = known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    return stage(known.join(left, "key"))
+
+
+def _tile_star(tiles: DataFrame, k: int) -> DataFrame:
+    """Pairs of a set and one other of each of its tiles, where their components differ."""
+    turn = F.struct(F.xxhash64("sid", "key", F.lit(k)).alias("turn"), F.col("sid").alias("centre"), F.col("c").alias("own"), F.col("n").alias("m"))
+    middle = tiles.groupBy("key").agg(F.min(turn).alias("m")).select("key", "m.centre", "m.own", "m.m")
+    fits = (F.col("n") * LINK[0] <= F.col("m") * LINK[1]) & (F.col("m") * LINK[0] <= F.col("n") * LINK[1])
+    pairs = tiles.join(middle, "key").where(fits & (F.col("c") != F.col("own")))
+    return pairs.select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b")).distinct()
+
+
+def _across(tiles: DataFrame) -> DataFrame:
+    """Pairs of sets from two components in a tile that can be similar."""
     x, y = (tiles.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("sid", "n", "pos", "c", "near"))) for s in "xy")
     least = F.ceil((F.col("n_x") + F.col("n_y")) * LINK[0] / (LINK[0] + LINK[1]))
     pairs = x.where("near_x").join(y, "key").where(
