@@ -8,7 +8,9 @@ evolves packings of its shard: crossover takes a packing, puts in whole well-fil
 removes the bins that would hold a document twice, and puts the documents displaced by that where
 they fit best. After an epoch the islands of a shard exchange their best packings and go on. Of the
 better island's packing bins that are all but full are final; the pieces of the others are dealt
-into new, fewer shards, until one shard is left. So no shard's remainder stays open.
+into new, fewer shards, until one shard is left. Where sizes don't add up to full bins and a level
+leaves more than ``LEAVES`` of its pieces that way, bins that are over half full are final too. A
+shard has one other at most, so the pool shrinks and no shard's remainder stays open.
 
 Every task holds a shard at most; assignments stay tables. Null and empty texts are the end id
 alone. Repeated rows are documents of their own. Tables without rows give none.
@@ -32,6 +34,8 @@ SHARD, ISLANDS, EPOCHS = 16_000, 2, 2
 POPULATION, CROSSINGS = 4, 12
 #: A bin with at least so many tokens is final.
 FULL = LENGTH - 1
+#: The share of its pieces that a level may leave to the next one.
+LEAVES = 0.75
 
 
 def pieces(docs: DataFrame, bpe: Bpe, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -181,10 +185,8 @@ def _island(epoch: int):
 def packed(items: DataFrame, shard: int = SHARD) -> DataFrame:
     """row, sequence_id and offset of items (row, length) of 1 to LENGTH tokens."""
     done, pool, level = None, items, 0
-    while True:
-        left = pool.count()
-        if not left:
-            break
+    left = pool.count()
+    while left:
         shards = -(-left // shard)
         last = shards == 1
         dealt = pool.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(level)), F.lit(shards)))
@@ -199,12 +201,17 @@ def packed(items: DataFrame, shard: int = SHARD) -> DataFrame:
             found = stage(islands.groupBy("shard", "island").applyInArrow(_island(epoch), schema))
         best = found.groupBy("shard").agg(F.min(F.struct("quality", "island")).alias("b")).select("shard", "b.island")
         found = found.join(best, ["shard", "island"])
-        final = found if last else found.where(F.col("fill") >= FULL)
+        before = left
+        # placing opens no bin while another has room: one a shard is half full or less. Of shards
+        # smaller than that bin's pieces can be, all bins are final where nothing else shrinks the pool
+        for least in (0,) if last else (FULL, LENGTH // 2 + 1, 0):
+            pool = found.where(F.col("fill") < least).select("row", "length")
+            left = pool.count() if least else 0
+            if left <= LEAVES * before:
+                break
+        final = found.where(F.col("fill") >= least)
         final = final.select("row", "length", (F.lit(level) * (1 << 56) + F.col("shard") * (1 << 24) + F.col("bin")).alias("sequence_id"))
         done = final if done is None else done.union(final)
-        if last:
-            break
-        pool = found.where(F.col("fill") < FULL).select("row", "length")
         level += 1
     if done is None:
         return items.sparkSession.createDataFrame([], "row long, sequence_id long, offset long")

@@ -81,3 +81,18 @@ def test_ones(documents, model):
     got = packing.sequences(documents([(k, "") for k in range(2100)]), model).collect()
     assert len({x["sequence_id"] for x in got}) == 2
     assert packing.sequences(documents([]), model).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("sizes", "most"),
+    [([1500] * 100, 100), ([700] * 100, 51), ([1500] * 60 + [700] * 60, 92), ([1500] * 50 + [548] * 20 + [90] * 30, 51), ([1] * 100, 3)],
+)
+def test_pools_that_fill_no_bins_end(spark, sizes, most):
+    items = spark.createDataFrame(list(enumerate(sizes)), "row long, length long")
+    got = packing.packed(items, 40).collect()
+    assert sorted(x["row"] for x in got) == list(range(len(sizes)))
+    fill = defaultdict(int)
+    for x in sorted(got, key=lambda x: (x["sequence_id"], x["offset"])):
+        assert x["offset"] == fill[x["sequence_id"]]
+        fill[x["sequence_id"]] += sizes[x["row"]]
+    assert max(fill.values()) <= packing.LENGTH and len(fill) <= most
