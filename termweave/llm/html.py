@@ -3,8 +3,13 @@
 Markup is stripped so that every block of a page is a line. A line's weight is the length of its
 text outside links; blocks inside menus, adverts, comments and the like weigh nothing and are left
 out. Weights are summed over windows of ``WINDOW`` lines: text is kept from each point where the sum
-surges over the page's threshold to the point where it dives to nothing. If a page marks its article
-(``article``, ``main``), lines outside it are left out as well, and links in it weigh what text does.
+surges over the page's threshold to the point where it dives to nothing.
+
+If a page marks its article (``article``, ``main``), lines outside it are left out as well, and inside
+it a lower sum is a surge, so that short paragraphs stay; lists of links go, with the heading above
+them. Marks whose text is less than ``MARKED`` of what is kept without them, like a teaser's, count
+for nothing. Of an article that is nothing but links, links weigh what text does. A link is an ``a``
+with ``href`` and an end tag.
 
 Character references are decoded; white space inside a block, line breaks included, becomes one
 blank. Null, empty and textless pages give an empty text. Broken markup is read to its end: an open
@@ -24,6 +29,8 @@ from termweave.llm import text as T
 
 #: Lines in a window, and the sum over a window that is a surge on any page.
 WINDOW, SURGE = 3, 80
+#: The same inside a marked article; the least share of the text that a marked article has.
+SURGE_INSIDE, MARKED = 20, 0.25
 
 # Fixed names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,6 +76,8 @@ TAG = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![^\s/"'])(hidden)(?![^\s/>])""", re.S | re.I)
+HREF = re.compile(r"""(?<![^\s"'])href\s*=""", re.I)
+NEXT_LINK = re.compile(r"<(/?)a(?=[\s/>])", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 CREDIT = re.compile(r"(©|\(c\)|copyright\b|all rights reserved)", re.I)
 
@@ -98,7 +107,7 @@ class Lines:
 
     def __init__(self, page: str):
         self.found: list[tuple[str, int, bool, bool]] = []
-        self.stack: list[tuple[str, bool, bool]] = []  # name, left out, in an article
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # name, left out, in an article, a link
         self.parts: list[str] = []
         self.plain = self.links = 0
         self.marked = False  # the page marks its article
@@ -115,7 +124,12 @@ class Lines:
             if m[1] or m[4]:
                 self._close(name)
                 continue
-            self._open(name, m[3] or m[6] or "")
+            attributes = m[3] or m[6] or ""
+            link = name == "a" and bool(HREF.search(attributes))
+            if link:
+                closed = NEXT_LINK.search(page, at)
+                link = bool(closed and closed[1])
+            self._open(name, attributes, link)
             if name in RAW:
                 stop = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
                 at = stop.end() if stop else end if name != "title" else at
@@ -138,11 +152,11 @@ class Lines:
             self.parts, self.plain = [], 0
 
     def _pop(self, to: int) -> None:
-        for name, _, _ in self.stack[to:]:
-            self.links -= name == "a"
+        for *_, link in self.stack[to:]:
+            self.links -= link
         del self.stack[to:]
 
-    def _open(self, name: str, attributes: str) -> None:
+    def _open(self, name: str, attributes: str, link: bool) -> None:
         if name in BLOCKS:
             self._flush()
             for k in range(len(self.stack) - 1, -1, -1):
@@ -156,7 +170,7 @@ class Lines:
             self._text(" ")
         if name in VOID:
             return
-        out, article = self.stack[-1][1:] if self.stack else (False, False)
+        out, article = self.stack[-1][1:3] if self.stack else (False, False)
         bare = name in DROPPED and name != "header"
         out = out or bare or names_aside(name, attributes, article)
         if name == "header" and not out:
@@ -166,8 +180,8 @@ class Lines:
         # of a heading block inside an article only the headings stay
         if article and not out and self.stack and self._in_header() and name not in HEADINGS | {"hgroup"}:
             out = name in BLOCKS
-        self.stack.append((name, out, article))
-        self.links += name == "a"
+        self.stack.append((name, out, article, link))
+        self.links += link
 
     def _in_header(self) -> bool:
         names = [s[0] for s in self.stack]
@@ -184,12 +198,12 @@ class Lines:
                 return
 
 
-def kept_lines(weights: list[int]) -> list[bool]:
+def kept_lines(weights: list[int], least: int = SURGE) -> list[bool]:
     """Lines between surge and dive points of the sums over windows."""
     n = len(weights)
     sums = [sum(weights[k : k + WINDOW]) for k in range(n)]
     most = max(sums, default=0)
-    surge = min(SURGE, most / 2)
+    surge = min(least, most / 2)
     out, k = [False] * n, 0
     while k < n:
         if not most or sums[k] < surge or not weights[k]:
@@ -209,13 +223,28 @@ def kept_lines(weights: list[int]) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by line feeds."""
     lines = Lines(page or "")
-    found = [x for x in lines.found if x[2] or not lines.marked]
-    if not lines.marked:
+    found, marked = lines.found, lines.marked
+    weights = [weight for _, weight, _, _ in found]
+    if marked:
+        # what is kept of the page without its marks, outside of them and inside
+        outside = sum(w for w, x, k in zip(weights, found, kept_lines(weights), strict=True) if k and not x[2])
+        inside = sum(w for w, x in zip(weights, found, strict=True) if x[2])
+        marked = inside >= MARKED * (inside + outside)
+    if marked:
+        found = [x for x in found if x[2]]
+        # marks between links aren't running text
+        weights = [weight if 4 * weight >= len(text) else 0 for text, weight, _, _ in found]
+        if not any(weights):
+            weights = [len(text) for text, _, _, _ in found]
+    else:
         # a credit line at the edge of a page without marks belongs to its footer
         while found and CREDIT.match(found[-1][0]):
             found.pop()
-    keep = kept_lines([len(text) if lines.marked else weight for text, weight, _, _ in found])
+        weights = weights[: len(found)]
+    keep = kept_lines(weights, SURGE_INSIDE if marked else SURGE)
     for k in range(len(found) - 2, -1, -1):
+        if marked and found[k][3] and not keep[k + 1] and k and keep[k - 1]:
+            keep[k] = False  # the heading of what is left out
         keep[k] = keep[k] or keep[k + 1] and found[k][3]  # the heading of what is kept
     return "\n".join(x[0] for x, k in zip(found, keep, strict=True) if k)
 

@@ -30,6 +30,19 @@ CASES = {
     "cut off": ("<article><p>one</p><p>two <a href='x", "one\ntwo"),
     "comment open": ("<p>a</p><!-- no end <p>b</p>", "a"),
     "table": ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
+    "links inside": (
+        f"<article><h1><a href=/>Head</a></h1><p>{LONG}</p><p>See <a href=/x>this</a>.</p><p><a href=/y>One link</a></p><p>Short.</p>"
+        "<h3>Read on</h3><ul>" + "".join(f"<li><a href=/{k}>Another story {k}</a></li>" for k in range(5)) + "</ul>"
+        f"<p>{LONG}</p><div>" + "".join(f"<div><a href=/{k}>Buy {k}</a> |</div>" for k in range(5)) + "</div></article>",
+        f"Head\n{LONG}\nSee this.\nOne link\nShort.\n{LONG}",
+    ),
+    "teaser": (
+        f"<div><h1>Title</h1>{f'<p>{LONG}</p>' * 5}</div><article><h2><a href=/t>Teaser</a></h2></article>"
+        "<article><p>Another story.</p></article>",
+        "Title\n" + "\n".join([LONG] * 5) + "\nTeaser\nAnother story.",
+    ),
+    "all links": ("<article><p><a href=/a>one</a></p><p><a href=/b>two</a></p></article>", "one\ntwo"),
+    "anchors": (f"<article><a name=top><p>{LONG}</p><p>b</p><a href=/x>open<p>{LONG}</p></article>", f"{LONG}\nb\nopen\n{LONG}"),
     "plain": ("just text", "just text"),
     "nothing": ("<html><body></body></html>", ""),
     "empty": ("", ""),
