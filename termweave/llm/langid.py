@@ -6,7 +6,8 @@ from word to word, a word is read once however often a task meets it. Words of m
 bytes are read in windows of that size, all of them.
 
 It is trained in numpy by backpropagation through time on a bounded sample: ``SAMPLE`` labelled
-texts of each language in the mean, the first ``WINDOW_TEXT`` bytes of each.
+texts of each language in the mean, and of each ``WORDS`` words and windows, which are drawn by a hash
+from its whole length.
 
 A null text, or one without a letter, is ``und`` with score 0, and so is everything if there are no
 labelled rows. Repeated rows are predicted one by one; ties go to the language first in order.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from termweave.llm import text as T
 from termweave.llm.bpe import LETTER, classes
 
-SAMPLE, WINDOW_TEXT, WINDOW, HIDDEN, INPUT, STEPS, BATCH = 300, 4000, 24, 12, 12, 400, 512
+SAMPLE, WORDS, WINDOW, HIDDEN, INPUT, STEPS, BATCH = 300, 600, 24, 12, 12, 400, 512
 UNKNOWN = "und"
 
 
@@ -158,6 +159,16 @@ def has_letter(flat: T.Flat) -> np.ndarray:
     return out
 
 
+def drawn(flat: T.Flat) -> T.Spans:
+    """WORDS windows of each text, or all, by a hash of the text and of where in it they are."""
+    w = windows(flat)
+    text = T.slice_hash(flat.sums(), flat.bounds[:-1], flat.bounds[1:])
+    order = np.lexsort((T.mixed(text[w.doc] + (w.starts - flat.bounds[w.doc]).astype(np.uint64)), w.doc))
+    rank = np.arange(len(w)) - w.first(len(flat))[w.doc]  # w is in order of texts, as order is
+    taken = np.sort(order[rank < WORDS])
+    return T.Spans(w.starts[taken], w.ends[taken], w.doc[taken])
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> BiGru | None:
     """A network trained on SAMPLE rows of each language in the mean, drawn by a hash of the key."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -167,10 +178,22 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     draw = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE / n))])
     near = rows.where(draw < F.element_at(share, F.col(lang)))
-    taken = near.select(F.col(lang).alias("l"), F.encode(F.substring(text, 1, WINDOW_TEXT), "utf-8").alias("t"))
-    taken = sorted((r["l"], bytes(r["t"])) for r in taken.collect())
+    near = near.select(F.col(lang).alias("l"), F.col(text).alias("t"))
+
+    def run(batches):
+        for batch in T.chunked(batches, "t"):
+            flat = T.Flat.of(batch.column("t"))
+            w = drawn(flat)
+            data = flat.data.tobytes()
+            words = [[] for _ in range(len(flat))]
+            for d, start, end in zip(w.doc.tolist(), w.starts.tolist(), w.ends.tolist(), strict=True):
+                words[d].append(data[start:end])
+            yield pa.RecordBatch.from_arrays([batch.column("l"), pa.array([b" ".join(x) for x in words], pa.binary())], names=["l", "t"])
+
+    kind = near.schema["l"].dataType.simpleString()
+    taken = sorted((r["l"], bytes(r["t"])) for r in near.mapInArrow(run, f"l {kind}, t binary").collect())
     labels = sorted(counts)
-    flat = T.Flat.of(pa.array([t[:WINDOW_TEXT] for _, t in taken], pa.binary()))
+    flat = T.Flat.of(pa.array([t for _, t in taken], pa.binary()))
     w = windows(flat)
     if not len(w):
         return None

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from termweave.llm import langid as G
+from termweave.llm import text as T
 
 SYLLABLES = {"aa": ["ka", "ro", "ti", "na"], "bb": ["sch", "ung", "keit", "ver"], "cc": ["ção", "lhe", "ñu", "é"]}
 
@@ -69,3 +71,24 @@ def test_nothing_to_learn_from(documents, spark):
     got = G.predicted(documents([(1, "words")]), None, ("doc_id",)).collect()
     assert [(x["lang_pred"], x["score"]) for x in got] == [("und", 0.0)]
     assert G.predicted(documents([]), None, ("doc_id",)).collect() == []
+
+
+def test_training_reads_behind_a_shared_opening(documents, spark):
+    r = random.Random(4)
+    notice = text("bb", r, 700)
+    assert len(notice) > 4000
+    rows = [(k, f"{notice} {text('aa', r, 4000)}", "aa") for k in range(20)]
+    rows += [(100 + k, text("bb", r, 700), "bb") for k in range(20)]
+    model = G.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    new = [(k, text(lang, r)) for k, lang in enumerate(["aa", "bb"] * 20)] + [(99, notice)]
+    got = {x["doc_id"]: x["lang_pred"] for x in G.predicted(documents(new), model, ("doc_id",)).collect()}
+    assert got.pop(99) == "bb"
+    assert np.mean([got[k] == ["aa", "bb"][k % 2] for k in got]) > 0.95
+
+
+def test_words_are_drawn_from_the_whole_text():
+    texts = [" ".join(f"w{k}" for k in range(10_000)), "a b", "", "x" * 100]
+    w = G.drawn(T.Flat.of(pa.array(texts)))
+    assert np.bincount(w.doc, minlength=4).tolist() == [G.WORDS, 2, 0, 5]
+    at = w.starts[w.doc == 0]
+    assert np.histogram(at, 10, (0, len(texts[0])))[0].min() > G.WORDS / 20
