@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termweave.llm import bpe, html, jaccard, langid, lm, multi_index, packing, quality, secrets, toxicity
+from termweave.llm import bpe, html, jaccard, langid, lm, multi_index, packing, periodic, quality, search, secrets, toxicity, transducer
 from termweave.llm.shared import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,35 @@ ORACLES["op8_jaccard_tiles"] = f"""
     SELECT doc_id, len(s) AS n_shingles, component_id FROM nodes JOIN classes ON node = doc_id
 """
 
+ORACLES["op11_reversed_search"] = """
+    WITH read AS (
+        SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+    ),
+    words AS (
+        SELECT kind, id, row_number() OVER () AS r, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+        FROM read
+    ),
+    counts AS (
+        SELECT kind, id, r, len(w) AS n, term, count(*) AS tf
+        FROM (SELECT *, unnest(w) AS term FROM words) GROUP BY kind, id, r, len(w), term
+    ),
+    totals AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS length FROM words WHERE kind = 'd' AND len(w) > 0),
+    weights AS (
+        SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+        FROM counts, totals WHERE kind = 'd' GROUP BY term, docs
+    ),
+    scores AS (
+        SELECT i.r AS item, i.id AS item_id, d.r, d.id AS doc_id,
+            CAST(sum(i.tf * weight * ((1000000000 * d.tf) // (1000 * d.tf + 8 * (25 + (75 * d.n * docs) // length)))) AS BIGINT) AS score
+        FROM counts i JOIN counts d USING (term) JOIN weights USING (term), totals
+        WHERE i.kind = 'i' AND d.kind = 'd' GROUP BY i.r, i.id, d.r, d.id
+    ),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+    SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
 
 @query
 def op1_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,3 +174,23 @@ def op10_grouping_genetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces, packed into sequences."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return packing.sequences(table(spark, sf_dir, "documents"), bpe.Bpe(ranks))
+
+
+@query
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and what is left without repeats, as digests."""
+    return periodic.digests(periodic.with_planted(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_token_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    vocabulary = transducer.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json"))
+    counted = transducer.counted(table(spark, sf_dir, "documents"), vocabulary)
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)

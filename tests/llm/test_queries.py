@@ -19,11 +19,14 @@ COLUMNS = {
     "op8_": ["doc_id", "n_shingles", "component_id"],
     "op9_": ["doc_id", "severity"],
     "op10_": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op11_": ["item_id", "rank", "doc_id", "score"],
+    "op12_": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op13_": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
 }
 
 
 def test_names():
-    assert len(Q.QUERIES) == 10 and set(Q.ORACLES) <= set(Q.QUERIES)
+    assert len(Q.QUERIES) == 13 and set(Q.ORACLES) <= set(Q.QUERIES)
     assert all(sum(name.startswith(prefix) for name in Q.QUERIES) == 1 for prefix in COLUMNS)
 
 
