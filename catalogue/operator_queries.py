@@ -34,7 +34,7 @@ from termweave.functions.names import (
 from termweave.operators.audit import record_count_audit
 from termweave.operators.importing import import_fields
 from termweave.operators.match import matched_records, missing_records
-from termweave.operators.rollup import concat_per_record, dense_rank_values
+from termweave.operators.rollup import concat_per_record, dense_rank_values, rows_with_lists
 from termweave.operators.schools import account_calendars, school_crosswalk
 from termweave.operators.terms import (
     nearest_terms_by_date,
@@ -555,6 +555,28 @@ def best_degree_rows(spark, sf):
     )
 
 
+@query(f"""
+    WITH {_ORDER_LISTS}
+    SELECT DISTINCT l_orderkey, CAST(shipped AS VARCHAR) AS shipped, p_type, p_name, flag,
+        list_names, list_flags, list_types
+    FROM lines JOIN lists USING (l_orderkey)
+    WHERE p_type = best_type
+""")
+def rows_carried_with_lists(spark, sf):
+    """Rows of a record's best type with its lists, out of one group; copies are counted before."""
+    parts = _order_parts(spark, sf).drop("p_partkey", "l_partkey")
+    counted = parts.groupBy(*parts.columns).agg(F.count(F.lit(1)).alias("n"))
+    return rows_with_lists(
+        counted,
+        ["l_orderkey"],
+        order=["shipped", "p_name", "p_type"],
+        lists={"list_names": "p_name", "list_flags": "flag", "list_types": "p_type"},
+        by_value=("list_types",),
+        best={"best_type": "p_type"},
+        copies="n",
+    )
+
+
 @query(with_sources("student_term", """
     SELECT GAS_Name_short, count(type_of_degree_earned_c) AS n_students, count(*) AS n_records
     FROM student_term GROUP BY GAS_Name_short

@@ -502,6 +502,38 @@ SUBMISSION = with_sources(
     """,
 )
 
+#: A fiftieth or so of the feed with a graduation date that is none, as (condition, text) in SQL of
+#: both engines: a month beyond twelve, day 0, seven digits, words.
+BAD_DATES = [
+    ("Enrollment_Begin % 97 = 0", "CAST(Graduation_Date + 5000 AS STRING)"),
+    ("Enrollment_Begin % 97 = 1", "CAST(Graduation_Date - Graduation_Date % 100 AS STRING)"),
+    ("Enrollment_Begin % 97 = 2", "substr(CAST(Graduation_Date AS STRING), 1, 7)"),
+    ("Enrollment_Begin % 97 = 3", "'unknown'"),
+]
+MALFORMED_DATE = (
+    "CASE WHEN Graduation_Date IS NULL THEN NULL "
+    + " ".join(f"WHEN {condition} THEN {text}" for condition, text in BAD_DATES)
+    + " ELSE CAST(Graduation_Date AS STRING) END"
+)
+
+FEED_REJECTS = with_sources(
+    "nsc_feed",
+    f"""
+    WITH cells AS (SELECT *, {MALFORMED_DATE} AS cell FROM nsc_feed)
+    SELECT Requester_Return_Field, College_Code_Branch, 'Graduation_Date' AS "column", cell AS found,
+        CASE WHEN try_cast(cell AS BIGINT) IS NULL THEN 'not a bigint' ELSE 'not a date' END AS problem
+    FROM cells
+    WHERE cell IS NOT NULL AND (len(cell) <> 8 OR try_strptime(cell, '%Y%m%d') IS NULL)
+    """,
+)
+
+
+def degrees_of_good_rows() -> str:
+    bad = " OR ".join(condition for condition, _ in BAD_DATES)
+    good = f"(SELECT * FROM nsc_feed WHERE Graduation_Date IS NULL OR NOT ({bad})) AS good_feed"
+    return degrees(four_year=True, create=False).replace("FROM nsc_feed", f"FROM {good}", 1)
+
+
 _TRACKED = """
     counted AS (
         SELECT sheet, "row", "user", CASE WHEN "row" > 1 AND sheet <> 'Aid' THEN 1 ELSE 0 END

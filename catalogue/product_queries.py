@@ -32,12 +32,14 @@ from termweave.plans.next_term import (
     next_term_records,
     unknown_calendars,
     unmatched_calendars,
+    write_next_term,
 )
 from termweave.operators.audit import sentinel_counts
-from termweave.plans.submission import SubmissionSpec, record_line, submission_records
+from termweave.plans.submission import SubmissionSpec, record_line, submission_records, write_submission
 from termweave.plans.templates import admission_edits, aid_edits, edited, new_applications
 from termweave.sources.registry import read_csv
-from termweave.sources.sinks import write_import
+from termweave.sources.rejects import split_rows
+from termweave.sources.sinks import read_positional, write_import
 from termweave.streaming.edits import (
     EditSpec,
     flags,
@@ -139,6 +141,13 @@ def next_term_enrolment(spark, sf):
     return _next_enrolments(spark, sf)
 
 
+@query(oracles.NEXT_TERM_AUDIT)
+def record_count_observed(spark, sf):
+    """The same counts, taken while the import is written."""
+    terms = source(spark, sf, "term")
+    return write_next_term(_next_term(spark, sf, FALL), terms, FALL, scratch_folder(spark, "next-term"))
+
+
 @query(oracles.NEXT_ENROLMENT_AUDIT)
 def next_term_enrolment_audit(spark, sf):
     return next_term_audit(_next_enrolments(spark, sf))
@@ -209,6 +218,15 @@ def submission_file(spark, sf):
     return records.select("place", record_line().alias("line"))
 
 
+@query(oracles.SUBMISSION)
+def submission_written(spark, sf):
+    """The written file, read back: its first line is the header, all others are details."""
+    folder = scratch_folder(spark, "submission")
+    write_submission(source(spark, sf, "contact"), folder, SubmissionSpec(organisation="Some School"))
+    lines = read_positional(spark, folder)
+    return lines.select(F.when(F.col("number") == 1, 0).otherwise(1).alias("place"), "line")
+
+
 @query(oracles.TRACKED)
 def track_edits_batch(spark, sf):
     return flags(track_edits(source(spark, sf, "edit_log"), EDITS))
@@ -258,3 +276,23 @@ def degree_4yr_update_from_csv(spark, sf):
     write_import(feed, folder, "csv")
     others = [source(spark, sf, name) for name in ("student_term", "school_account", "scorecard", "term")]
     return degree_records(read_csv(spark, "nsc_feed", folder), *others, FOUR_YEAR_UPDATE)
+
+
+def _feed_with_bad_dates(spark, sf, columns=None):
+    feed = source(spark, sf, "nsc_feed")
+    text = feed.withColumn("Graduation_Date", F.expr(oracles.MALFORMED_DATE))
+    return split_rows(text, "nsc_feed", ("Requester_Return_Field", "College_Code_Branch"), columns)
+
+
+@query(oracles.FEED_REJECTS)
+def feed_rejects(spark, sf):
+    """Cells of the feed that aren't of their column's type, or name no day."""
+    return _feed_with_bad_dates(spark, sf).rejected
+
+
+@query(oracles.degrees_of_good_rows())
+def degree_4yr_update_tolerant(spark, sf):
+    """Degrees of a feed with malformed dates: those of all its other rows."""
+    feed = _feed_with_bad_dates(spark, sf, columns=("Graduation_Date",)).good
+    others = [source(spark, sf, name) for name in ("student_term", "school_account", "scorecard", "term")]
+    return degree_records(feed, *others, FOUR_YEAR_UPDATE)

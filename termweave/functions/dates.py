@@ -21,6 +21,12 @@ def parse_yyyymmdd(c: Column) -> Column:
     return or_raise(date, c, "date")
 
 
+def try_yyyymmdd(c: Column) -> Column:
+    """A ``YYYYMMDD`` number or text as a date; NULL where it names no day, whatever the session's ANSI mode."""
+    text = c.cast("string")
+    return F.when(F.length(text) == 8, F.try_to_date(text, "yyyyMMdd"))
+
+
 def or_raise(result: Column, given: Column, kind: str) -> Column:
     """The result, of the Spark type ``kind``; an error where it is NULL though a value was given.
 

@@ -1,5 +1,8 @@
 """Several rows of a record rolled up into one."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,6 +59,44 @@ def concat_per_record(
     )
 
 
+def rows_with_lists(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    lists: dict[str, str],
+    by_value: tuple[str, ...] = (),
+    best: dict[str, str] | None = None,
+    copies: str | None = None,
+) -> DataFrame:
+    """Distinct rows, each with the lists of its record and only where its ``best`` columns are the first.
+
+    Lists are those of ``concat_per_record``. Rows travel inside the group that makes the lists, so
+    the table is read once and not joined with its own roll-up. ``copies`` names the column that
+    weighs a row; NULL weighs nothing, and the row isn't returned. A group holds a record's distinct
+    rows: make them distinct before, which spreads a record with very many rows.
+    """
+    best = best or {}
+    fields = list(dict.fromkeys(order + list(lists.values())))
+    rest = [c for c in df.columns if c not in [*keys, *fields, copies]]
+    weight = F.lit(1) if copies is None else F.col(copies)
+    entry = F.struct(*fields, weight.alias("copies"), *rest)
+    known = df if copies is None else df.where(F.col(copies).isNotNull())
+    records = known.groupBy(keys).agg(
+        F.sort_array(F.collect_list(entry)).alias("_entries"),
+        *[F.min(F.struct(F.col(c).alias("first"))).alias(f"_{name}") for name, c in best.items()],
+    )
+    entries = F.col("_entries")
+    kept = F.filter(
+        entries,
+        lambda e: reduce(and_, (e[c].eqNullSafe(F.col(f"_{name}.first")) for name, c in best.items()), F.lit(True)),
+    )
+    return records.select(
+        *keys,
+        *[_joined(entries, field, name in by_value).alias(name) for name, field in lists.items()],
+        F.explode(kept).alias("_row"),
+    ).select(*keys, *lists, *[F.col(f"_row.{c}").alias(c) for c in [*fields, *rest]])
+
+
 def dense_rank_values(df: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
     """Rows with the dense rank of a column's value within its record, NULL ranked first.
 

@@ -19,7 +19,7 @@ from termweave.functions.degrees import associate_filter, bachelor_filter, class
 from termweave.functions.keys import branch_code, clean_return_key, first_token, match_key
 from termweave.operators.importing import import_fields
 from termweave.operators.match import matched_records, missing_records
-from termweave.operators.rollup import concat_per_record
+from termweave.operators.rollup import rows_with_lists
 from termweave.operators.schools import import_accounts, with_schools
 from termweave.operators.terms import with_terms_by_date
 from termweave.sources.columns import STATUS_NAME
@@ -142,9 +142,14 @@ def _update_candidates(feed, student_terms, schools, scorecard, terms, spec) ->
 def _create_candidates(feed, student_terms, schools, scorecard, terms, spec) -> DataFrame:
     mapped = with_terms_by_date(graduates(feed, spec), terms, "nsc_graduation_date")
     records = college_records(student_terms, spec)
-    # Records that hold a degree already still count as matches, but open no new one.
-    open_records = records if spec.four_year else records.where("type_of_degree_earned_c IS NULL")
-    students = open_records.select(*_STUDENT, "contact_id_mod").distinct()
+    # Records that hold a degree already still count as matches, but open no new one. A student's
+    # terms are gathered once, and both what is open and what matches is read from there.
+    is_open = F.lit(True) if spec.four_year else F.col("type_of_degree_earned_c").isNull()
+    by_student = records.groupBy(*_STUDENT, "contact_id_mod").agg(
+        F.collect_set(F.struct("PAT_GAS_id", is_open.alias("open"))).alias("_terms")
+    )
+    students = by_student.where(F.exists("_terms", lambda t: t["open"])).drop("_terms")
+    records = by_student.select("contact_id_mod", F.explode("_terms.PAT_GAS_id").alias("PAT_GAS_id"))
     return (
         with_schools(missing_records(students, mapped, records), schools, scorecard)
         .where((F.col("College_State") == F.col("billing_state_code")) & calendars_agree(spec))
@@ -192,13 +197,13 @@ def degree_records(
         .groupBy(F.col("ipeds_id_c").alias("counted_ipeds"))
         .agg(F.count(F.lit(1)).alias("n_accounts"))
     )
-    weighted = degrees.join(per_college, F.col("cs_ipeds_id") == F.col("counted_ipeds"))
+    weighted = degrees.join(per_college, F.col("cs_ipeds_id") == F.col("counted_ipeds")).drop("counted_ipeds")
     best = {}
     if not spec.four_year:
         best["best_degree"] = "sfdc_degree"
         if spec.create:
             best["best_type"] = "rank_college_type"
-    lists = concat_per_record(
+    rows = rows_with_lists(
         weighted,
         keys,
         order=_DEGREE,
@@ -211,15 +216,8 @@ def degree_records(
         },
         by_value=("list_sfdc_degrees",),
         best=best,
-        copies=F.col("n_accounts"),
+        copies="n_accounts",
     )
-    lists = lists.select([F.col(c).alias(f"key_{c}" if c in keys else c) for c in lists.columns])
-
-    rows = degrees.join(lists, [F.col(k).eqNullSafe(F.col(f"key_{k}")) for k in keys])
-    if "best_degree" in best:
-        rows = rows.where(F.col("sfdc_degree") == F.col("best_degree"))
-    if "best_type" in best:
-        rows = rows.where(F.col("rank_college_type") == F.col("best_type"))
     rows = rows.join(import_accounts(schools), F.col("cs_ipeds_id") == F.col("for_prod_ipeds"))
     fields = _create_fields(spec) if spec.create else _update_fields(spec)
     return import_fields(rows, fields).distinct()

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from termweave.functions.carry import filled_when, null_when
 from termweave.functions.codes import CALENDAR_ERROR, calendar_of_name
-from termweave.operators.audit import record_count_audit
+from termweave.operators.audit import record_count_audit, term_count_rows, term_counts
 from termweave.operators.importing import import_fields
 from termweave.operators.sizes import small
 from termweave.sources.columns import STATUS_CODE
 from termweave.sources.schemas import RUBRIC_CARRIED, RUBRIC_RESET
+from termweave.sources.sinks import write_import
 
 # Status codes of active, inactive and alumni students.
 ACTIVE, INACTIVE, ALUMNI = "15A", "16A", "17A"
@@ -207,6 +208,20 @@ def next_term_enrolments(
     )
 
 
+def write_next_term(
+    records: DataFrame, terms: DataFrame, spec: TermSpec, path: str, fmt: str = "parquet"
+) -> DataFrame:
+    """Writes next-term records, and returns their ``next_term_audit``, counted as they are written.
+
+    The names of the terms to create are the calendar's that start on the day of the spec, so a
+    handful; the product itself runs once.
+    """
+    days = terms.where(F.col("GAS_start_date") == F.lit(spec.start_date))
+    names = sorted(r[0] for r in days.select("GAS_Name").distinct().collect() if r[0] is not None)
+    seen = write_import(records, path, fmt, term_counts("gas_name_to_create", "contact_id", names))
+    return term_count_rows(records.sparkSession, seen, "gas_name_to_create", names)
+
+
 def next_term_audit(records: DataFrame) -> DataFrame:
     """Students and records per term to create, of either CRM's product."""
     old, new = "gas_name_to_create", "at_name_to_create"

@@ -14,27 +14,38 @@ class MissingColumns(ValueError):
     """A source lacks columns that its schema names."""
 
 
+def require_columns(df: DataFrame, source: str) -> None:
+    """Fails if a column of the source's schema is missing."""
+    present = {name.lower() for name in df.columns}
+    missing = [field.name for field in SCHEMAS[source] if field.name.lower() not in present]
+    if missing:
+        raise MissingColumns(f"{source}: {', '.join(missing)}")
+
+
 def conform(df: DataFrame, source: str) -> DataFrame:
     """The columns of a source in schema order and type; fails if one is missing.
 
     A value that isn't of its column's type raises, whatever the session's ANSI mode. Text of
     flags may be ``Y``, ``Yes``, ``True`` or ``1``, their opposites, in either case, or blank.
     """
-    present = {name.lower() for name in df.columns}
-    schema = SCHEMAS[source]
-    missing = [field.name for field in schema if field.name.lower() not in present]
-    if missing:
-        raise MissingColumns(f"{source}: {', '.join(missing)}")
+    require_columns(df, source)
     kinds = {f.name.lower(): f.dataType for f in df.schema}
-    return df.select([_typed(f, kinds[f.name.lower()]) for f in schema])
+    return df.select([typed_value(f, kinds[f.name.lower()]) for f in SCHEMAS[source]])
 
 
-def _typed(field: T.StructField, given: T.DataType) -> Column:
+def present_value(field: T.StructField, given: T.DataType) -> Column:
+    """A column's value; text of other than text columns trimmed, blank text as NULL."""
     value = F.col(f"`{field.name}`")
+    if isinstance(given, T.StringType) and not isinstance(field.dataType, T.StringType):
+        value = F.when(F.trim(value) != "", F.trim(value))
+    return value
+
+
+def typed_value(field: T.StructField, given: T.DataType) -> Column:
+    """A column as its schema has it; a value of another type raises."""
+    value = present_value(field, given)
     if given == field.dataType or isinstance(field.dataType, T.StringType):
         return value.cast(field.dataType).alias(field.name)
-    if isinstance(given, T.StringType):
-        value = F.when(F.trim(value) != "", F.trim(value))
     kind = field.dataType.simpleString()
     return or_raise(value.try_cast(kind), value, kind).alias(field.name)
 
@@ -43,16 +54,16 @@ def read_parquet(spark: SparkSession, source: str, path: str) -> DataFrame:
     return conform(spark.read.parquet(path), source)
 
 
-def read_csv(
+def read_csv_text(
     spark: SparkSession, source: str, path: str, line_breaks: bool = False
 ) -> DataFrame:
-    """A spreadsheet export. The header must name the schema's columns in order.
+    """A spreadsheet export as text cells. The header must name the schema's columns in order.
 
     ``line_breaks`` allows them within cells; a file is then read by one task. Without it
-    such a cell fails the read. Cells are read as text and typed as ``conform`` does.
+    such a cell fails the read.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in SCHEMAS[source]])
-    rows = (
+    return (
         spark.read.schema(text)
         .option("header", True)
         .option("enforceSchema", False)
@@ -61,7 +72,13 @@ def read_csv(
         .option("multiLine", line_breaks)
         .csv(path)
     )
-    return conform(rows, source)
+
+
+def read_csv(
+    spark: SparkSession, source: str, path: str, line_breaks: bool = False
+) -> DataFrame:
+    """A spreadsheet export, read by ``read_csv_text`` and typed as ``conform`` does."""
+    return conform(read_csv_text(spark, source, path, line_breaks), source)
 
 
 def read_table(spark: SparkSession, source: str, table: str) -> DataFrame:

@@ -161,3 +161,6 @@ SCHEMAS = {
         """
     ),
 }
+
+# Columns that hold days as YYYYMMDD numbers.
+DATE_NUMBERS = {"nsc_feed": ("Search_Date", "Enrollment_Begin", "Enrollment_End", "Graduation_Date")}

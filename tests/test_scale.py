@@ -51,6 +51,21 @@ def test_dimensions_too_large_to_broadcast(compiled, name):
         assert compare(df, duck(SF), entry.oracle_sql()[name]) == ""
 
 
+@pytest.mark.parametrize("name", ["degree_4yr_update", "degree_2yr_update", "degree_4yr_create", "degree_2yr_create"])
+def test_degrees_take_one_scan_of_feed_and_records(compiled, name):
+    with settings(compiled, SPLIT_HOT_KEYS):
+        df = entry.queries()[name](compiled, SF)
+        df.collect()
+        final = final_plan(df).partition("== Initial Plan ==")[0]
+    # feed and records stand in with the same table, read once for each
+    assert final.count("lineitem.parquet") == 2
+
+
+def test_lists_are_not_joined_with_their_rows(compiled):
+    plan = entry.queries()["degree_4yr_update"](compiled, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1 and not re.search(r"Join Inner, \(AT_Id#\d+ <=>", plan)
+
+
 def test_short_term_names_take_one_scan_of_the_feed(compiled):
     plan = final_plan(entry.queries()["feed_term_short"](compiled, SF))
     # the feed and the student records stand in for each other's source once each
