@@ -4,12 +4,12 @@
 2. Stars: sets that share one of the smallest of their hashes, and a band of sizes, are held against
    one of them, another one in each round. This costs as much as there are sets, and joins most of
    what is similar.
-3. Tiles: a set's shingles are ordered, rare ones first, those that more than ``HOT`` prefixes begin
-   with last. Two similar sets share a shingle among the first fifth of either, and the smaller among
-   its first ninth. Tiles of such a shingle whose sets are in one component by then are done. In the
-   others the sets are held against one of them, another one in each round and tile; in what is open
-   then, every pair of sets from two components is held against each other, within the band of sizes
-   that can be similar. No pair within a component is made.
+3. Tiles: a set's shingles are ordered, those that at most ``HOT`` texts have first, the others by
+   how many have them. Two similar sets share a shingle among the first fifth of either, and the
+   smaller among its first ninth. Tiles of such a shingle whose sets are in one component by then are
+   done. In the others each set is held against a few others of its tiles, new ones in each round; in
+   what is open then, every pair of sets from two components is held against each other, within the
+   band of sizes that can be similar. No pair within a component is made.
 4. Of each pair, the numbers of bits by which their hashed bitmaps differ bound the overlap from
    above; only pairs that pass have their sorted arrays intersected.
 
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termweave.llm import text as T
@@ -31,12 +31,15 @@ from termweave.llm.shared import drop, stage, tidy
 from termweave.llm.sieve import Sieve
 
 SIZE, LINK = 5, (80, 100)
-#: Prefixes that may begin with a shingle before it is put last; how many such shingles are told apart.
-HOT, HOT_MOST = 64, 1 << 20
+#: Texts that may have a shingle before it is put last; how many such shingles are told apart.
+HOT, HOT_MOST = 4, 1 << 20
+#: Shingles that a task counts at once, and that a range of the counts has in the mean.
+COUNTED, RANGE = 1 << 21, 1 << 21
 #: Longs of a bitmap: the power of two that gives a set two bits for each shingle, within these bounds.
 LONGS = (8, 128)
-#: Rounds of stars on smallest hashes and in tiles, and the smallest hashes that a round takes.
-STARS, TILE_STARS, SMALLEST = 1, 2, 8
+#: Rounds of stars on smallest hashes and in tiles; the smallest hashes that a round takes, and the
+#: centres that a set is held against in one.
+STARS, TILE_STARS, SMALLEST, CENTRES = 1, 2, 8, 8
 _U = np.uint64
 
 
@@ -83,39 +86,86 @@ def _prefixes(key, who, n, rank) -> tuple[np.ndarray, np.ndarray]:
     return key[order][take], who[take]
 
 
-def hot_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that more than HOT prefixes in the order of hashes have, and how many, over all texts.
+def pack(values: np.ndarray) -> bytes:
+    """Numbers in groups of seven bits, the lowest first; a byte's eighth bit says that more follow."""
+    size = 1 + sum((values >= _U(1) << _U(7 * k)).astype(np.int64) for k in range(1, 9))
+    begin = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    for k in range(int(size.max()) if len(size) else 0):
+        live = size > k
+        out[begin[live] + k] = ((values[live] >> _U(7 * k)) & _U(127)).astype(np.uint8) | ((size[live] > k + 1) << 7).astype(np.uint8)
+    return out.tobytes()
 
-    The result orders shingles and nothing else: any order gives the same links.
-    """
 
-    def run(batches):
-        for batch in T.chunked(batches, "text"):
-            key, who = sets(T.Flat.of(batch.column("text")))
-            n = np.bincount(who, minlength=batch.num_rows)
-            key, times = np.unique(_prefixes(key, who, n, None)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(times)], names=["key", "n"])
+def unpack(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    begin = np.flatnonzero(np.append(True, raw[:-1] < 128)) if len(raw) else np.zeros(0, np.int64)
+    place = np.arange(len(raw)) - np.repeat(begin, np.diff(np.append(begin, len(raw))))
+    return np.add.reduceat((raw & 127).astype(np.uint64) << (7 * place).astype(np.uint64), begin) if len(raw) else np.zeros(0, np.uint64)
 
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") > HOT).orderBy(F.desc("n"), "key").limit(HOT_MOST).toArrow()
-    return rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+
+def hot_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray, int]:
+    """Beginnings of shingles' hashes that more than HOT texts have, how many have them, and by how
+    many bits hashes are cut to their beginnings.
+
+    The result orders shingles and nothing else: any order gives the same links. So beginnings will
+    do that are five bits longer than it takes to number the shingles, of which there is less than
+    one for each two bytes; tasks send them sorted, as differences, about two bytes for each.
+    """
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    cut = 64 - min(64, max(24, (size // 2).bit_length() + 5))
+    ranges = max(16, size // 8 // RANGE)
+
+    def packed(found: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(found), return_counts=True)
+        part = (key.astype(np.float64) * (ranges / 2.0 ** (64 - cut))).astype(np.int64)
+        ends = np.append(np.flatnonzero(part[1:] != part[:-1]) + 1, len(part))
+        begin = np.append(0, ends[:-1])
+        steps = [pack(np.diff(key[a:b], prepend=_U(0))) for a, b in zip(begin, ends, strict=True)]
+        times = [pack(n[a:b].astype(np.uint64)) for a, b in zip(begin, ends, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(part[begin]), pa.array(steps), pa.array(times)], names=["part", "steps", "times"])
+
+    def count(batches):
+        found, n = [], 0
+        for batch in T.chunked(batches, "text"):
+            key, _ = sets(T.Flat.of(batch.column("text")))
+            found.append(key >> _U(cut))
+            n += len(key)
+            if n > COUNTED:
+                yield packed(found)
+                found, n = [], 0
+        if n:
+            yield packed(found)
+
+    def hot(table):
+        keys = [np.cumsum(unpack(x.as_py())) for x in table.column("steps")]
+        times = [unpack(x.as_py()) for x in table.column("times")]
+        key, back = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(back, np.concatenate(times)).astype(np.int64)
+        often = n > HOT
+        return pa.table({"key": pa.array(key[often].view(np.int64)), "n": pa.array(n[often])})
+
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "part long, steps binary, times binary")
+    rows = counts.groupBy("part").applyInArrow(hot, "key long, n long").orderBy(F.desc("n"), "key").limit(HOT_MOST).toArrow()
+    return rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy(), cut
 
 
 def summaries(docs: DataFrame, hot, id: str, text: str) -> DataFrame:
-    """id, n, sid, bitmap, prefix and smallest hashes of each row's set."""
+    """id, n, sid, bitmap, prefix, smallest hashes and ``common`` (how frequent its shingles are, in the mean) of each row's set."""
     src = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
-        hot_keys, hot_counts = shared.value
-        table = T.SlotTable(max(12, len(hot_keys).bit_length() + 2))
-        table.add(hot_keys)
+        hot_keys, hot_counts, cut = shared.value
+        table = T.SlotTable(max(12, len(hot_keys).bit_length() + 1))
+        table.add(T.mixed(hot_keys))
         for batch in T.chunked(batches, "text"):
             key, who = sets(T.Flat.of(batch.column("text")))
             rows = batch.num_rows
             n = np.bincount(who, minlength=rows)
-            row = table.find(key)
+            row = table.find(T.mixed(key >> _U(cut)))
             rank = np.where(row >= 0, hot_counts[row] if len(hot_counts) else 0, 0)
+            common = np.bincount(who, np.log1p(rank), rows) / np.maximum(n, 1)
             longs = np.clip(2 ** np.ceil(np.log2(np.maximum(n, 1) / 32)), *LONGS).astype(np.int64)
             ends = np.concatenate([[0], np.cumsum(longs)])
             bits = np.zeros(ends[-1], np.uint64)
@@ -131,12 +181,13 @@ def summaries(docs: DataFrame, hot, id: str, text: str) -> DataFrame:
                     _lists(bits.view(np.int64), ends),
                     _lists(prefix.view(np.int64), _first(of, rows)),
                     _lists(key[small].view(np.int64), _first(who[small], rows)),
+                    pa.array(common),
                 ],
-                names=["id", "n", "sid", "bitmap", "prefix", "smallest"],
+                names=["id", "n", "sid", "bitmap", "prefix", "smallest", "common"],
             )
 
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, n long, sid long, bitmap array<long>, prefix array<long>, smallest array<long>")
+    return src.mapInArrow(run, f"id {kind}, n long, sid long, bitmap array<long>, prefix array<long>, smallest array<long>, common double")
 
 
 def _lists(values: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -208,7 +259,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
     tidy(spark)
     members = stage(summaries(docs, hot, id, text))
     real = members.where("n > 0 and id is not null")
-    sizes = stage(real.groupBy("sid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("smallest").alias("smallest")))
+    sizes = stage(real.groupBy("sid").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"), F.first("smallest").alias("smallest"), F.min("common").alias("common")))
     links, joined = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "node long, root long")
     for k in range(STARS):
         before, labels = links, joined
@@ -257,12 +308,24 @@ def _star(sizes: DataFrame, joined: DataFrame, k: int) -> DataFrame:
     """Pairs of a set and the centre of each of its stars, where their components differ."""
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(LINK[1] / LINK[0])) + k / STARS)
     keys = F.explode(F.slice("smallest", k * SMALLEST + 1, SMALLEST)).alias("key")
-    rows = _labelled(sizes.select("sid", "n", "smallest"), joined).select("sid", "c", band.alias("band"), keys)
-    turn = F.struct(F.xxhash64("sid", F.lit(k)).alias("turn"), F.col("sid").alias("centre"), F.col("c").alias("own"))
-    middle = rows.groupBy("key", "band").agg(F.min(turn).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    middle = middle.where("lo <> hi").select("key", "band", "m.centre", "m.own")
-    pairs = rows.join(middle, ["key", "band"]).where("c <> own")
-    return pairs.select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b")).distinct()
+    rows = _labelled(sizes.select("sid", "n", "smallest", "common"), joined).select("sid", "c", "common", band.alias("band"), keys)
+    middle = rows.groupBy("key", "band").agg(F.min(_turn(k)).alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    middle = middle.where("lo <> hi").select("key", "band", "m.turn", "m.centre", "m.own")
+    return _first_centres(rows.join(middle, ["key", "band"]).where("c <> own"))
+
+
+def _turn(k: int) -> Column:
+    """What makes a set the centre of a star: that its shingles are the most frequent ones, as of a text
+    that many others were made from; in later rounds chance."""
+    turn = -F.col("common") if k == 0 else F.xxhash64("sid", "key", F.lit(k)).cast("double")
+    return F.struct(turn.alias("turn"), F.col("sid").alias("centre"), F.col("c").alias("own"))
+
+
+def _first_centres(rows: DataFrame) -> DataFrame:
+    """Each set (sid) with CENTRES of its centres at most: in each part of its keys the one whose turn comes first."""
+    part = F.pmod(F.xxhash64("key"), F.lit(CENTRES))
+    first = rows.groupBy("sid", part).agg(F.min(F.struct("turn", "centre")).alias("m"))
+    return first.select(F.least("sid", "m.centre").alias("a"), F.greatest("sid", "m.centre").alias("b")).distinct()
 
 
 def _tiles(real: DataFrame) -> DataFrame:
@@ -280,10 +343,10 @@ def _tiles(real: DataFrame) -> DataFrame:
             who = np.repeat(np.arange(len(size)), size)
             pos = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
             take = sieve.value.passes(key)
-            out = [batch.column(c).take(pa.array(who[take])) for c in ("sid", "n")]
-            yield pa.RecordBatch.from_arrays([*out, pa.array(key[take]), pa.array(pos[take])], names=["sid", "n", "key", "pos"])
+            out = [batch.column(c).take(pa.array(who[take])) for c in ("sid", "n", "common")]
+            yield pa.RecordBatch.from_arrays([*out, pa.array(key[take]), pa.array(pos[take])], names=["sid", "n", "common", "key", "pos"])
 
-    rows = real.select("sid", "n", "prefix").mapInArrow(run, "sid long, n long, key long, pos long")
+    rows = real.select("sid", "n", "common", "prefix").mapInArrow(run, "sid long, n long, common double, key long, pos long")
     near = F.col("pos") * (LINK[0] + LINK[1]) <= F.col("n") * (LINK[1] - LINK[0])
     tiles = stage(rows.distinct().withColumn("near", near))
     drop(open_)
@@ -299,12 +362,10 @@ def _open(tiles: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def _tile_star(tiles: DataFrame, k: int) -> DataFrame:
-    """Pairs of a set and one other of each of its tiles, where their components differ."""
-    turn = F.struct(F.xxhash64("sid", "key", F.lit(k)).alias("turn"), F.col("sid").alias("centre"), F.col("c").alias("own"), F.col("n").alias("m"))
-    middle = tiles.groupBy("key").agg(F.min(turn).alias("m")).select("key", "m.centre", "m.own", "m.m")
+    """Pairs of a set and one other of its tiles, where their components differ."""
+    middle = tiles.groupBy("key").agg(F.min(_turn(k).withField("m", F.col("n"))).alias("m")).select("key", "m.turn", "m.centre", "m.own", "m.m")
     fits = (F.col("n") * LINK[0] <= F.col("m") * LINK[1]) & (F.col("m") * LINK[0] <= F.col("n") * LINK[1])
-    pairs = tiles.join(middle, "key").where(fits & (F.col("c") != F.col("own")))
-    return pairs.select(F.least("sid", "centre").alias("a"), F.greatest("sid", "centre").alias("b")).distinct()
+    return _first_centres(tiles.join(middle, "key").where(fits & (F.col("c") != F.col("own"))))
 
 
 def _across(tiles: DataFrame) -> DataFrame:
