@@ -1,9 +1,14 @@
 """Secret scans: fixed rules, and Markov models of random strings and of ordinary identifiers.
 
-Rule spans (kinds ``assign``, ``access``, ``hex``) are kept as they are. Runs of identifier
-characters outside them are added (kind ``random``) if a character model of random strings explains
-them better than one of ordinary identifiers, by a log-likelihood ratio. Both models are trained on
-samples that the rules label, over all texts: matched values, and other identifiers.
+Rule spans (kinds ``assign``, ``access``, ``hex``) are kept as they are. In runs of identifier
+characters outside them, the stretch is added (kind ``random``) that a character model of random
+strings explains better than one of ordinary identifiers, by the largest log-likelihood ratio. It
+goes from separator to separator (``/`` and ``=``), so that a key is found at the end of a path.
+
+Both models are trained on samples that the rules label, over all texts: matched values, and other
+identifiers. Those are learned twice: first from plain ones, in which digits stand apart from letters
+and small letters aren't followed by capitals, then also from others that the first model doesn't
+find random. What isn't plain counts once, so a key that is repeated often is no evidence for itself.
 
 Null and empty texts have no spans. Rows are scanned one by one, so repeated rows give repeated
 results. Without texts, or without a labelled sample of one kind, no random string is reported.
@@ -21,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termweave.llm import text as T
+from termweave.llm.shared import drop, stage
 
 KINDS = ("assign", "access", "hex", "random")
 #: Fixed patterns; letters of the names in either case.
@@ -34,9 +40,14 @@ LEAST, RATIO, RATIO_EACH = 16, 12.0, 0.5
 _HEX = np.isin(np.arange(256), np.frombuffer(b"0123456789abcdef", np.uint8))
 _UPPER = np.isin(np.arange(256), [*range(48, 58), *range(65, 91)])
 _NAME = np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *b"+/_=-"])
-#: State of each byte; 0 stands for what lies before a string.
-STATES = int(_NAME.sum()) + 1
-_STATE = np.where(_NAME, np.cumsum(_NAME), 0)
+#: Small letters, capitals and digits.
+_KIND = np.select([np.isin(np.arange(256), x) for x in (range(97, 123), range(65, 91), range(48, 58))], [1, 2, 3])
+#: Separators: what follows is a string of its own to the models, a random stretch ends at them.
+_BREAK = np.isin(np.arange(256), [*b"/="])
+_INNER = _NAME & ~_BREAK
+#: State of each byte; 0 stands for what lies before a string, and for separators.
+STATES = int(_INNER.sum()) + 1
+_STATE = np.where(_INNER, np.cumsum(_INNER), 0)
 
 
 def runs(flat: T.Flat, member: np.ndarray, least: int) -> T.Spans:
@@ -77,63 +88,139 @@ def _transitions(flat: T.Flat, starts: np.ndarray, ends: np.ndarray) -> tuple[np
     return before * STATES + to, who
 
 
-def _clear_of(spans: T.Spans, rules: list[tuple]) -> T.Spans:
-    """Those that no rule span touches."""
-    if not rules:
-        return spans
-    a = np.sort(np.array([r[1] for r in rules]))
-    b = np.sort(np.array([r[3] for r in rules]))
-    free = np.searchsorted(a, spans.ends, "left") == np.searchsorted(b, spans.starts, "right")
-    return T.Spans(spans.starts[free], spans.ends[free], spans.doc[free])
+def _beside(flat: T.Flat, rules: list[tuple], least: int) -> T.Spans:
+    """Runs of identifier characters of ``least`` bytes at least, without what lies in rule spans."""
+    free = _NAME[flat.data]
+    for r in rules:
+        free[r[1] : r[3]] = False
+    found = T.flagged_runs(flat, free) if len(flat.data) else T.Spans(*[np.zeros(0, np.int64)] * 3)
+    long = found.ends - found.starts >= least
+    return T.Spans(found.starts[long], found.ends[long], found.doc[long])
 
 
-def learn(docs: DataFrame, text: str = "text") -> np.ndarray | None:
-    """Log-likelihood ratio of each transition; the counts cover all texts, their number is fixed."""
+def strings(docs: DataFrame, text: str = "text") -> DataFrame:
+    """kind (0: matched by a rule, 1: not), value and n (how often) of each distinct string that the models learn from."""
 
     def run(batches):
         for batch in T.chunked(batches, "text"):
             flat = T.Flat.of(batch.column("text"))
             rules = rule_spans(flat)
-            counts = np.zeros((2, STATES * STATES), np.int64)
-            if rules:
-                values = np.array([r[4:] for r in rules])
-                pair, _ = _transitions(flat, values[:, 0], values[:, 1])
-                counts[0] = np.bincount(pair, minlength=STATES * STATES)
-            plain = _clear_of(runs(flat, _NAME, VALUE), rules)
-            pair, _ = _transitions(flat, plain.starts, plain.ends)
-            counts[1] = np.bincount(pair, minlength=STATES * STATES)
-            kind, pair = np.nonzero(counts)
+            plain = _beside(flat, rules, VALUE)
+            starts = np.concatenate([np.array([r[4] for r in rules], np.int64), plain.starts])
+            ends = np.concatenate([np.array([r[5] for r in rules], np.int64), plain.ends])
+            kind = np.repeat([0, 1], [len(rules), len(plain)]).astype(np.int32)
+            name = T.mixed(T.slice_hash(flat.sums(), starts, ends) + kind.astype(np.uint64))
+            _, once, n = np.unique(name, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kind.astype(np.int32)), pa.array(pair.astype(np.int32)), pa.array(counts[kind, pair])],
-                names=["kind", "pair", "n"],
+                [pa.array(kind[once]), pa.array(name[once].view(np.int64)), T.cut_strings(flat, starts[once], ends[once]), pa.array(n)],
+                names=["kind", "name", "value", "n"],
             )
 
-    found = docs.select(F.col(text).alias("text")).mapInArrow(run, "kind int, pair int, n long")
-    counts = np.zeros((2, STATES, STATES))
-    for r in found.groupBy("kind", "pair").agg(F.sum("n").alias("n")).collect():
-        counts[r["kind"], r["pair"] // STATES, r["pair"] % STATES] = r["n"]
-    if not counts.sum((1, 2)).all():
-        return None
+    found = docs.select(F.col(text).alias("text")).mapInArrow(run, "kind int, name long, value string, n long")
+    return found.groupBy("kind", "name").agg(F.any_value("value").alias("value"), F.sum("n").alias("n")).drop("name")
+
+
+def _plain(flat: T.Flat) -> np.ndarray:
+    """Whether in each text digits stand apart from letters and no small letter is followed by a capital."""
+    kind = _KIND[flat.data]
+    mixed = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0) & ~((kind[:-1] == 2) & (kind[1:] == 1))
+    inner = flat.bounds[1:-1]
+    mixed[inner[(inner > 0) & (inner < len(kind))] - 1] = False
+    return flat.count(np.append(mixed, False)[: len(kind)]) == 0
+
+
+def _counts(samples: DataFrame, ratio: np.ndarray | None) -> np.ndarray:
+    """Transitions of the strings of each kind; of others plain ones, and with a ratio those that it doesn't find random."""
+
+    def run(batches):
+        counts = np.zeros((2, STATES * STATES), np.int64)
+        for batch in T.chunked(batches, "value"):
+            flat, kind, n = T.Flat.of(batch.column("value")), batch.column("kind").to_numpy(), batch.column("n").to_numpy()
+            starts, ends, plain = flat.bounds[:-1], flat.bounds[1:], _plain(flat)
+            weigh = np.where(kind == 0, 1, np.where(plain, n, 0))
+            if ratio is not None:
+                ordinary = np.ones(len(flat), bool)
+                ordinary[[x[0] for x in _stretches(flat, T.Spans(starts, ends, np.arange(len(flat))), ratio)]] = False
+                weigh[(kind == 1) & ~plain & ordinary] = 1
+            pair, who = _transitions(flat, starts, ends)
+            np.add.at(counts, (kind[who], pair), weigh[who])
+        kind, pair = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(kind.astype(np.int32)), pa.array(pair.astype(np.int32)), pa.array(counts[kind, pair])], names=["kind", "pair", "n"]
+        )
+
+    # as many rows as pairs of characters at most
+    out = np.zeros((2, STATES, STATES))
+    for r in samples.mapInArrow(run, "kind int, pair int, n long").groupBy("kind", "pair").agg(F.sum("n").alias("n")).collect():
+        out[r["kind"], r["pair"] // STATES, r["pair"] % STATES] = r["n"]
+    return out
+
+
+def log_ratio(counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of each transition; transitions are smoothed towards the characters of each kind.
+
+    Separators tell nothing.
+    """
+    counts = counts.copy()
+    counts[:, :, 0] = 0
     letters = counts.sum(1, keepdims=True) + 1
-    # a string is itself among the ordinary ones: what they have once is no evidence
-    counts[1] = np.maximum(counts[1] - 1, 0)
-    # transitions are smoothed towards the characters of each kind
     chance = counts + 20 * letters / letters.sum(2, keepdims=True)
     log = np.log(chance / chance.sum(2, keepdims=True))
-    return (log[0] - log[1]).ravel()
+    ratio = log[0] - log[1]
+    ratio[:, 0] = 0
+    return ratio.ravel()
+
+
+def learn(docs: DataFrame, text: str = "text") -> np.ndarray | None:
+    """Log-likelihood ratio of each transition; the counts cover all texts, their number is fixed."""
+    samples = stage(strings(docs, text))
+    ratio = None
+    for _ in range(2):
+        counts = _counts(samples, ratio)
+        if not counts.sum((1, 2)).all():
+            break
+        ratio = log_ratio(counts)
+    drop(samples)
+    return ratio
+
+
+def best_stretch(gain: np.ndarray) -> tuple[int, int]:
+    """The slice with the largest sum; of equal ones the first."""
+    upto = np.concatenate([[0.0], np.cumsum(gain)])
+    lowest = np.minimum.accumulate(upto[:-1])
+    end = int(np.argmax(upto[1:] - lowest)) + 1
+    return int(np.argmin(upto[:end])), end
+
+
+def _stretches(flat: T.Flat, s: T.Spans, ratio: np.ndarray) -> list[tuple[int, int, int]]:
+    """(span, start, end) of the random stretch of each span that has one: of its parts between
+    separators, neighbours with the largest sum."""
+    pair, _ = _transitions(flat, s.starts, s.ends)
+    gain = ratio[pair]
+    first = np.cumsum(s.ends - s.starts) - (s.ends - s.starts)
+    # a stretch can't gain more than all gains of its span
+    hope = np.add.reduceat(np.maximum(gain, 0), first) if len(s) else np.zeros(0)
+    out = []
+    for k in np.flatnonzero(hope >= RATIO).tolist():
+        a, n = int(s.starts[k]), int(s.ends[k] - s.starts[k])
+        own = gain[first[k] : first[k] + n]
+        inner = np.flatnonzero(~_BREAK[flat.data[a : a + n]])
+        part = np.append(0, np.cumsum(np.diff(inner) > 1))
+        i, j = best_stretch(np.bincount(part, own[inner]))
+        chosen = inner[(part >= i) & (part < j)]
+        i, j = int(chosen[0]), int(chosen[-1]) + 1
+        total = float(own[i:j].sum())
+        if j - i >= LEAST and total >= RATIO and total >= RATIO_EACH * (j - i):
+            out.append((k, a + i, a + j))
+    return out
 
 
 def random_spans(flat: T.Flat, rules: list[tuple], ratio: np.ndarray | None) -> list[tuple[int, int, int, int]]:
     """(text, start, kind, end) of identifiers that the model of random strings explains better."""
     if ratio is None:
         return []
-    s = _clear_of(runs(flat, _NAME, LEAST), rules)
-    if not len(s):
-        return []
-    pair, who = _transitions(flat, s.starts, s.ends)
-    total = np.bincount(who, ratio[pair], len(s))
-    hit = (total >= RATIO) & (total >= RATIO_EACH * (s.ends - s.starts))
-    return [(d, a, 3, b) for d, a, b in zip(*(x[hit].tolist() for x in (s.doc, s.starts, s.ends)), strict=True)]
+    s = _beside(flat, rules, LEAST)
+    return [(int(s.doc[k]), a, 3, b) for k, a, b in _stretches(flat, s, ratio)]
 
 
 def found_in(flat: T.Flat, ratio: np.ndarray | None) -> list[list[tuple[int, int, int]]]:
