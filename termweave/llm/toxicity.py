@@ -10,7 +10,8 @@ others), in shares as equal as ties allow.
 
 Features are hashed words (runs of letters) and beginnings of words, counted; only those that tell toxic from other
 training texts by ``SUPPORT`` and ``ODDS`` are used, ``FEATURES`` at most. Training takes ``SAMPLE``
-labelled rows in the mean, drawn by a hash of the id; whole texts are read then and in prediction.
+toxic and as many other labelled rows in the mean, drawn by a hash of the id; each weighs as many
+labelled rows as it stands for. Whole texts are read then and in prediction.
 
 Null and empty texts have no features and get the severity of a text without any. Of several labels
 for an id the largest counts; null labels don't. Without toxic and other labels, all is grade 0.
@@ -18,6 +19,8 @@ for an id the largest counts; null labels don't. Without toxic and other labels,
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +28,10 @@ from pyspark.sql import functions as F
 
 from termweave.llm import text as T
 
-GRADES, SAMPLE, FEATURES, SUPPORT, ODDS, LEAST = 3, 20_000, 4096, 4, 3.0, 0.5
+GRADES, SAMPLE, FEATURES, ODDS, LEAST = 3, 10_000, 4096, 3.0, 0.5
+#: Toxic training texts that a feature must occur in; with fewer than ``FEW`` toxic ones one of these
+#: numbers, by the errors on halves of the texts that are held out in turn.
+SUPPORT, FEW = (2, 3, 4), 300
 #: Bytes of the beginnings of words that are features beside whole words.
 HEADS = (4, 5, 6)
 _U = np.uint64
@@ -66,9 +72,10 @@ class Ordinal:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds, -500, 500)))
 
     @staticmethod
-    def train(keys, doc, column, value, grade, rounds: int = 400, ridge: float = 3e-5) -> Ordinal:
-        """Maximum likelihood by Adam; (doc, column, value) are the features of each text."""
+    def train(keys, doc, column, value, grade, weigh=None, rounds: int = 400, ridge: float = 3e-5) -> Ordinal:
+        """Maximum likelihood by Adam; (doc, column, value) are the features of each text, ``weigh`` what it counts."""
         n, k = len(grade), GRADES
+        weigh = np.full(n, 1 / n) if weigh is None else weigh / weigh.sum()
         weight = np.zeros(len(keys))
         raw = np.array([1.0, *np.zeros(k - 1)])  # first threshold, logs of the steps to the next
         state = [np.zeros(len(weight) + k), np.zeros(len(weight) + k)]
@@ -79,7 +86,7 @@ class Ordinal:
             at = np.arange(n)
             a, b = up[at, grade], up[at, grade + 1]
             p = np.maximum(a - b, 1e-12)
-            da, db = a * (1 - a) / p / n, b * (1 - b) / p / n  # by the two thresholds of a grade
+            da, db = a * (1 - a) / p * weigh, b * (1 - b) / p * weigh  # by the two thresholds of a grade
             dscore = db - da
             grad = np.bincount(column, dscore[doc] * value, len(weight)) + ridge * weight
             bound = np.zeros(k + 2)
@@ -100,11 +107,14 @@ def _table(keys: np.ndarray) -> T.SlotTable:
 
 
 def sample(labels: DataFrame, id: str = "doc_id", label: str = "toxic") -> DataFrame:
-    """id and _toxic of SAMPLE labelled ids in the mean."""
+    """id, _toxic and _weigh of SAMPLE toxic and SAMPLE other labelled ids in the mean."""
     known = labels.select(F.col(id), F.col(label).alias("_toxic")).dropna().groupBy(id).agg(F.max("_toxic").alias("_toxic"))
-    share = min(1.0, SAMPLE / max(known.count(), 1))
+    sizes = {r[0]: r[1] for r in known.groupBy((F.col("_toxic") > 0).alias("t")).count().collect()}
     draw = F.pmod(F.xxhash64(F.col(id).cast("string"), F.lit(23)), F.lit(1 << 30))
-    return known.where(draw < int(share * (1 << 30)))
+    share = [min(1.0, SAMPLE / max(sizes.get(t, 0), 1)) for t in (True, False)]
+    least = F.when(F.col("_toxic") > 0, int(share[0] * (1 << 30))).otherwise(int(share[1] * (1 << 30)))
+    weigh = F.when(F.col("_toxic") > 0, 1 / share[0]).otherwise(1 / share[1])
+    return known.where(draw < least).withColumn("_weigh", weigh)
 
 
 def telling(texts: DataFrame) -> tuple[np.ndarray, int]:
@@ -132,7 +142,7 @@ def telling(texts: DataFrame) -> tuple[np.ndarray, int]:
         return np.zeros(0, np.uint64)
     counts = texts.mapInArrow(run, "key long, pos long, neg long").groupBy("key").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     odds = F.log((F.col("pos") + 0.5) / (pos + 1.0)) - F.log((F.col("neg") + 0.5) / (neg + 1.0))
-    best = counts.where(F.col("pos") >= SUPPORT).withColumn("odds", odds).where(F.col("odds") >= ODDS)
+    best = counts.where(F.col("pos") >= (min(SUPPORT) if pos < FEW else max(SUPPORT))).withColumn("odds", odds).where(F.col("odds") >= ODDS)
     rows = best.orderBy(F.desc("odds"), "key").limit(FEATURES).select("key").collect()
     return np.array([r[0] for r in rows], np.int64).view(np.uint64)
 
@@ -140,7 +150,7 @@ def telling(texts: DataFrame) -> tuple[np.ndarray, int]:
 def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic") -> Ordinal:
     known = sample(labels, id, label).withColumnRenamed(id, "_id")
     # the sample's size is bounded by SAMPLE, whatever the number of labels
-    texts = docs.select(F.col(id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(known), "_id").select("text", "_toxic")
+    texts = docs.select(F.col(id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(known), "_id").select("text", "_toxic", "_weigh")
     keys = telling(texts)
     if not len(keys):
         return Ordinal.empty()
@@ -154,22 +164,72 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
             hit = column >= 0
             marked = np.unique(word[hit])
             amount = np.bincount(words(flat).doc[marked], minlength=len(flat))
-            order = np.argsort(doc[hit], kind="stable")
-            ends = np.cumsum([0, *np.bincount(doc[hit], minlength=len(flat))]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(column[hit][order]))
-            yield pa.RecordBatch.from_arrays([batch.column("_toxic").cast(pa.int32()), pa.array(amount), lists], names=["toxic", "amount", "hits"])
-
-    # a column and its count for each feature that a sampled text has
-    rows = texts.mapInArrow(run, "toxic int, amount long, hits array<int>").collect()
-    rows.sort(key=lambda r: (r["toxic"], r["amount"], r["hits"]))
-    toxic = np.array([r["toxic"] > 0 for r in rows])
-    amount = np.array([r["amount"] for r in rows])
-    cuts = np.quantile(amount[toxic], np.arange(1, GRADES) / GRADES)
-    grade = np.where(toxic, 1 + np.searchsorted(cuts, amount), 0)
+            cell, n = np.unique(doc[hit] * len(keys) + column[hit], return_counts=True)
+            ends = np.cumsum([0, *np.bincount(cell // len(keys), minlength=len(flat))]).astype(np.int32)
+            hits, times = (pa.ListArray.from_arrays(pa.array(ends), pa.array(x.astype(np.int32))) for x in (cell % len(keys), n))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_toxic").cast(pa.int32()), batch.column("_weigh"), pa.array(amount), hits, times],
+                names=["toxic", "weigh", "amount", "hits", "times"],
+            )
+
+    # FEATURES columns and counts of a sampled text at most
+    rows = texts.mapInArrow(run, "toxic int, weigh double, amount long, hits array<int>, times array<int>").collect()
+    rows.sort(key=lambda r: (r["toxic"], r["amount"], r["hits"], r["times"]))
+    toxic, weigh, amount = (np.array([r[c] for r in rows]) for c in ("toxic", "weigh", "amount"))
     doc = np.repeat(np.arange(len(rows)), [len(r["hits"]) for r in rows])
-    column = np.array([h for r in rows for h in r["hits"]], np.int64)
-    cell, n = np.unique(doc * len(keys) + column, return_counts=True)
-    return Ordinal.train(keys, cell // len(keys), cell % len(keys), np.log1p(n), grade)
+    column, n = (np.array([h for r in rows for h in r[c]], np.int64) for c in ("hits", "times"))
+    data = _Training(toxic > 0, weigh, amount, doc, column, np.log1p(n))
+    use = np.ones(len(keys), bool)
+    if data.toxic.sum() < FEW:
+        errors = [(data.errors(len(keys), least), least) for least in sorted(SUPPORT, reverse=True)]
+        least = min(errors, key=lambda x: x[0])[1]
+        use = data.tells(np.ones(len(rows), bool), len(keys), least)
+    return data.model(keys, use, np.ones(len(rows), bool))
+
+
+@dataclass
+class _Training:
+    """Sampled texts, and the features that each has."""
+
+    toxic: np.ndarray
+    weigh: np.ndarray
+    amount: np.ndarray
+    doc: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+
+    def tells(self, texts: np.ndarray, columns: int, least: int) -> np.ndarray:
+        """Features that at least so many toxic ones of the texts have, and others rarely."""
+        on = texts[self.doc]
+        pos, neg = (np.bincount(self.column[on & (self.toxic[self.doc] == t)], minlength=columns) for t in (True, False))
+        n_pos, n_neg = (self.toxic & texts).sum(), (~self.toxic & texts).sum()
+        odds = np.log((pos + 0.5) / (n_pos + 1)) - np.log((neg + 0.5) / (n_neg + 1))
+        return (pos >= least) & (odds >= ODDS)
+
+    def model(self, keys: np.ndarray, use: np.ndarray, texts: np.ndarray) -> Ordinal:
+        """Trained on some texts with some features."""
+        toxic, amount = self.toxic[texts], self.amount[texts]
+        if not use.any() or not toxic.any():
+            return Ordinal.empty()
+        cuts = np.quantile(amount[toxic], np.arange(1, GRADES) / GRADES)
+        grade = np.where(toxic, 1 + np.searchsorted(cuts, amount), 0)
+        on = texts[self.doc] & use[self.column]
+        doc, column = (np.cumsum(x) - 1 for x in (texts, use))
+        return Ordinal.train(keys[use], doc[self.doc[on]], column[self.column[on]], self.value[on], grade, self.weigh[texts])
+
+    def errors(self, columns: int, least: int) -> int:
+        """Texts judged wrong by models that were trained on the other half."""
+        wrong, half = 0, np.arange(len(self.toxic)) % 2 == 0
+        for texts in (half, ~half):
+            use = self.tells(texts, columns, least)
+            model = self.model(np.arange(columns, dtype=np.uint64), use, texts)
+            on = use[self.column]
+            weight = np.zeros(columns)
+            weight[use] = model.weights if len(model.weights) else 0
+            score = np.bincount(self.doc[on], weight[self.column[on]] * self.value[on], len(self.toxic))
+            found = model.at_least(score)[:, 0] >= LEAST
+            wrong += int((found != self.toxic)[~texts].sum())
+        return wrong
 
 
 def scored(docs: DataFrame, model: Ordinal, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
