@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -96,7 +97,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Bpe:
     """A vocabulary of ranks, with what decides whether two tokens may stand side by side."""
 
-    def __init__(self, ranks: dict[bytes, int], bits: int = 21):
+    def __init__(self, ranks: dict[bytes, int], bits: int = 18):
         self.ranks, size = ranks, max(ranks.values()) + 1
         self.bytes_of = np.zeros(size, object)
         for token, rank in ranks.items():
@@ -175,6 +176,13 @@ class Bpe:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in _LOCAL} | {"tables": None}
 
+    def close(self) -> None:
+        """Drops the tables: a worker would keep them, with the broadcast, for all tasks to come."""
+        for name in _LOCAL:
+            self.__dict__.pop(name, None)
+        self.tables = None
+        T.release()
+
     def _follow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """``may_follow`` of arrays."""
         out = np.ones(len(a), bool)
@@ -280,7 +288,7 @@ class Bpe:
         """Ids of all texts, one after another, and where each text's ids begin."""
         if self.tables is None:
             self._prepare()
-        if self.memo.table.size > 0.8 * self.memo.table.most or self.used > 1 << 23:
+        if self.memo.table.size > 0.8 * self.memo.table.most or self.used > 1 << 20:
             self.fresh()
         p, sums = pieces(flat), flat.sums()
         keys = T.slice_hash(sums, p.starts, p.ends)
@@ -294,6 +302,33 @@ class Bpe:
         ids = self.pool[np.arange(upto[-1]) + np.repeat(offset - upto[:-1], count)]
         return ids, upto[p.first(len(flat))]
 
+    def encode_added(self, flat: T.Flat, added: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """``encode``, where added tokens that occur in a text have the ids given; the rest is encoded by itself."""
+        raw = flat.data.tobytes() if added else b""
+        found = re.compile(b"|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+        if not found or not found.search(raw):
+            return self.encode(flat)
+        spans = [
+            (a + m.start(), a + m.end())
+            for a, b in zip(flat.bounds[:-1].tolist(), flat.bounds[1:].tolist(), strict=True)
+            for m in found.finditer(raw[a:b])
+        ]
+        begin, end = np.array(spans, np.int64).reshape(-1, 2).T
+        bounds = np.unique(np.concatenate([flat.bounds, begin, end]))
+        ids, first = self.encode(T.Flat(flat.data, bounds))
+        # the parts that are added tokens have one id each in place of their own
+        part = np.searchsorted(bounds, begin)
+        size = np.diff(first)
+        size[part] = 1
+        upto = np.concatenate([[0], np.cumsum(size)])
+        out = np.zeros(upto[-1], ids.dtype)
+        own = np.ones(len(size), bool)
+        own[part] = False
+        keep = np.repeat(own, np.diff(first))
+        out[np.repeat(own, size)] = ids[keep]
+        out[upto[part]] = [added[raw[a:b]] for a, b in spans]
+        return out, upto[np.searchsorted(bounds, flat.bounds)]
+
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(self.bytes_of[ids].tolist())
 
@@ -363,10 +398,12 @@ def encoded(docs: DataFrame, bpe: Bpe, id: str = "doc_id", text: str = "text") -
     shared = docs.sparkSession.sparkContext.broadcast(bpe)
 
     def run(batches):
+        bpe = shared.value
         for batch in T.chunked(batches, "text"):
-            ids, first = shared.value.encode(T.Flat.of(batch.column("text")))
+            ids, first = bpe.encode(T.Flat.of(batch.column("text")))
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["id", "ids"])
+        bpe.close()
 
     kind = src.schema["id"].dataType.simpleString()
     return src.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id)
@@ -393,6 +430,7 @@ def digests(docs: DataFrame, bpe: Bpe, id: str = "doc_id", text: str = "text") -
                 ],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        bpe.close()
 
     kind = src.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"

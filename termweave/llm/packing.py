@@ -38,14 +38,15 @@ FULL = LENGTH - 1
 LEAVES = 0.75
 
 
-def pieces(docs: DataFrame, bpe: Bpe, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, piece, start, length and ids_crc32 of every piece."""
+def pieces(docs: DataFrame, bpe: Bpe, id: str = "doc_id", text: str = "text", added: dict[bytes, int] | None = None) -> DataFrame:
+    """id, piece, start, length and ids_crc32 of every piece; added: tokens beside the ranks, by their bytes."""
     src = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(bpe)
 
     def run(batches):
+        bpe = shared.value
         for batch in T.chunked(batches, "text"):
-            ids, first = shared.value.encode(T.Flat.of(batch.column("text")))
+            ids, first = bpe.encode_added(T.Flat.of(batch.column("text")), added or {})
             n = np.diff(first) + 1
             all_ids = np.full(int(n.sum()), END, "<u4")
             begin = np.cumsum(n) - n
@@ -62,6 +63,7 @@ def pieces(docs: DataFrame, bpe: Bpe, id: str = "doc_id", text: str = "text") ->
                 [batch.column("id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
                 names=["id", "piece", "start", "length", "ids_crc32"],
             )
+        bpe.close()
 
     kind = src.schema["id"].dataType.simpleString()
     return src.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long")
@@ -226,9 +228,9 @@ def packed(items: DataFrame, shard: int = SHARD) -> DataFrame:
     return placed.select(F.col("x.rows.row").alias("row"), "sequence_id", F.col("x.ends").alias("offset"))
 
 
-def sequences(docs: DataFrame, bpe: Bpe, id: str = "doc_id", text: str = "text") -> DataFrame:
+def sequences(docs: DataFrame, bpe: Bpe, id: str = "doc_id", text: str = "text", added: dict[bytes, int] | None = None) -> DataFrame:
     """id, piece, start, length, ids_crc32, sequence_id and offset of every piece."""
-    cut = stage(pieces(docs, bpe, id, text).withColumn("row", F.monotonically_increasing_id()))
+    cut = stage(pieces(docs, bpe, id, text, added).withColumn("row", F.monotonically_increasing_id()))
     whole = cut.where(F.col("length") == LENGTH).withColumns(
         {"sequence_id": -1 - F.col("row"), "offset": F.lit(0).cast("long")}
     )

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from termweave.llm import bpe, html, jaccard, langid, lm, multi_index, packing, periodic, quality, search, secrets, toxicity, transducer
 from termweave.llm.shared import ship
 
+#: Fixed value: the added token of the vocabulary byte_bpe_50k.
+ADDED = {b"<|endoftext|>": 50256}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -173,7 +175,7 @@ def op9_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_grouping_genetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces, packed into sequences."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return packing.sequences(table(spark, sf_dir, "documents"), bpe.Bpe(ranks))
+    return packing.sequences(table(spark, sf_dir, "documents"), bpe.Bpe(ranks), added=ADDED)
 
 
 @query

@@ -119,7 +119,11 @@ class Spans:
 
 def runs(flat: Flat, member: np.ndarray) -> Spans:
     """Maximal runs of member bytes within a text; member: whether each of the 256 bytes is one."""
-    inside = member[flat.data]
+    return flagged_runs(flat, member[flat.data])
+
+
+def flagged_runs(flat: Flat, inside: np.ndarray) -> Spans:
+    """Maximal runs of flagged bytes within a text."""
     inner = flat.bounds[(flat.bounds > 0) & (flat.bounds < len(inside))]
     begins, closes = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -186,7 +190,12 @@ def chunked(batches, column: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch
 
 
 def release() -> None:
-    """Gives free memory back to the system: a Python worker stays for the executor's next tasks."""
+    """Gives free memory back to the system: a Python worker stays for the executor's next tasks.
+
+    Powers are kept for as long a text as a chunk has at most.
+    """
+    if len(_powers[0]) > 2 * CHUNK:
+        _powers[:] = [row[: 2 * CHUNK].copy() for row in _powers]
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
         ctypes.CDLL(None).malloc_trim(0)

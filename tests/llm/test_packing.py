@@ -4,10 +4,13 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from termweave.llm import bpe, packing
+from termweave.llm.queries import ADDED
+from termweave.llm.text import Flat
 
 
 @pytest.fixture(scope="module")
@@ -21,12 +24,11 @@ def test_pieces_and_sequences(documents, model, monkeypatch):
     rows = [(k, " ".join(r.choices(words, k=r.choice([3, 50, 200, 400, 900])))) for k in range(120)]
     rows += [(500, None), (501, ""), (None, "no id"), (502, "a " * 9000), (503, " a" * 2047), (504, " a" * 4095)]
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     want = {i: [*library.encode(t or "", add_special_tokens=False).ids, 0] for i, t in rows}
     rows.append(rows[7])
     docs = documents(rows)
     monkeypatch.setattr(packing.packed, "__defaults__", (40,))  # several shards and levels
-    got = packing.sequences(docs, model).collect()
+    got = packing.sequences(docs, model, added=ADDED).collect()
     assert sum(x["length"] for x in got) == sum(len(want[i]) for i, _ in rows)
     by = defaultdict(dict)
     for x in got:
@@ -49,8 +51,29 @@ def test_pieces_and_sequences(documents, model, monkeypatch):
             assert offset == at
             at += length
         assert at <= 2048
-    least = -(-sum(x["length"] for x in got) // 2048)
-    assert len(bins) <= 1.03 * least + 1
+    assert len(bins) <= 1.03 * fewest([x["length"] for x in got]) + 1
+
+
+def fewest(sizes):
+    """A lower bound of the number of bins: two pieces above half a bin never share one."""
+    half = packing.LENGTH // 2
+    bounds = [-(-sum(sizes) // packing.LENGTH)]
+    for t in {x for x in sizes if x <= half}:
+        alone = [x for x in sizes if x > packing.LENGTH - t]
+        large = [x for x in sizes if half < x <= packing.LENGTH - t]
+        rest = sum(x for x in sizes if t <= x <= half) - (len(large) * packing.LENGTH - sum(large))
+        bounds.append(len(alone) + len(large) + max(0, -(-rest // packing.LENGTH)))
+    return max(bounds)
+
+
+def test_added_tokens_as_the_library_has_them(model):
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, mark * 3, f"{mark}x", None, "", f" {mark}\n", "<|endoftext|", f"é{mark}é", "plain"]
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    ids, first = model.encode_added(Flat.of(pa.array(texts)), ADDED)
+    got = [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert got[0] == [64, 220, 50256, 275]
 
 
 def packing_of(sizes, bins):

@@ -77,6 +77,16 @@ def test_near_duplicates(results):
     assert texts(results[2]) == sorted(want)
 
 
+def test_near_duplicates_by_id_and_text(spark):
+    r = random.Random(3)
+    t, u, v, w = (prose(r, 40) for _ in range(4))
+    rows = [(1, t), (2, t), (2, u), (3, u + " x"), (4, v), (4, w), (4, w), (5, None), (5, None), (6, ""), (None, t), (None, t)]
+    docs = spark.createDataFrame([(i, x, "en", "s", 1, "x") for i, x in rows], SCHEMA)
+    kept = P.near_duplicates(spark, docs, "")
+    assert texts(kept) == sorted([(1, t), (2, u), (4, v), (4, w), (5, ""), (6, ""), (-1, t), (-1, t)])
+    assert P.near_duplicates(spark, docs.limit(0), "").collect() == []
+
+
 def test_secrets(results):
     def masked(text):
         for a, _, b in reversed(secret_spans(text)):
