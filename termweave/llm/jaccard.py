@@ -39,7 +39,7 @@ COUNTED, RANGE = 1 << 21, 1 << 21
 LONGS = (8, 128)
 #: Rounds of stars on smallest hashes and in tiles; the smallest hashes that a round takes, and the
 #: centres that a set is held against in one.
-STARS, TILE_STARS, SMALLEST, CENTRES = 1, 2, 8, 8
+STARS, TILE_STARS, SMALLEST, CENTRES = 1, 1, 8, 8
 _U = np.uint64
 
 
@@ -268,13 +268,15 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         drop(before, labels)
     tiles = _tiles(real)
     for k in range(TILE_STARS + 1):
-        before, labels, meeting = links, joined, _open(tiles, joined)
-        if meeting.isEmpty():
+        # components only grow: a tile that holds one of them is done for good
+        before, labels, wide, tiles = links, joined, tiles, _open(tiles, joined)
+        drop(wide)
+        if tiles.isEmpty():
             break
-        pairs = _tile_star(meeting, k) if k < TILE_STARS else _across(meeting)
+        pairs = _tile_star(tiles, k) if k < TILE_STARS else _across(tiles)
         links = stage(before.union(_held(pairs, sizes, docs, id, text)))
         joined = stage(components(links))
-        drop(before, labels, meeting)
+        drop(before, labels)
     drop(links, tiles)
     owned = sizes.select("sid", "id").join(joined.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     smallest = owned.groupBy("root").agg(F.min("id").alias("component_id"))
@@ -356,7 +358,7 @@ def _tiles(real: DataFrame) -> DataFrame:
 
 def _open(tiles: DataFrame, joined: DataFrame) -> DataFrame:
     """Rows of the tiles that hold more than one component, c: each row's component."""
-    known = _labelled(tiles, joined)
+    known = _labelled(tiles.drop("c"), joined)
     left = known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
     return stage(known.join(left, "key"))
 
