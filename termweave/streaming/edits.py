@@ -96,34 +96,57 @@ def read_edit_stream(
 COMPACT_AFTER = 10
 
 
-def _numbered(spark: SparkSession, folder: str, prefix: str) -> dict[int, str]:
-    """Complete datasets ``<prefix>=<number>`` in a folder, by number."""
+def _files(spark: SparkSession, folder: str):
+    """A folder below the states, and the file system that it is on."""
     place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = files.listStatus(place) if files.exists(place) else []
-    paths = [status.getPath() for status in found if status.getPath().getName().startswith(f"{prefix}=")]
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    return {
-        int(p.getName().partition("=")[2]): p.toString() for p in paths if files.exists(path(p, "_SUCCESS"))
-    }
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _delete(spark: SparkSession, paths: list[str]) -> None:
-    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    place, files = _files(spark, folder)
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
 
 
-def _state_files(spark: SparkSession, folder: str) -> tuple[dict[int, str], dict[int, str]]:
-    """The latest snapshot, and the changes since then, by the number of the micro-batch."""
-    snapshots = _numbered(spark, f"{folder}/states", "snapshot")
-    last = max(snapshots, default=-1)
-    changes = _numbered(spark, f"{folder}/states", "batch")
-    return {last: snapshots[last]} if snapshots else {}, {n: p for n, p in changes.items() if n > last}
+def _number(name: str) -> int:
+    """The micro-batch that ``batch=<number>`` or ``snapshot=<number>`` ends with."""
+    return int(name.partition("=")[2])
 
 
-def _latest(spark: SparkSession, files: dict[int, str]) -> DataFrame:
-    """The last state of each row among numbered datasets."""
-    parts = [spark.read.schema(_STATE).parquet(p).withColumn("n", F.lit(n)) for n, p in files.items()]
+def _version(spark: SparkSession, folder: str) -> tuple[int, list[str]]:
+    """Number of the last complete version, and the datasets that it consists of; -1 before the first."""
+    number = max((int(name) for name in _names(spark, f"{folder}/versions") if name.isdigit()), default=-1)
+    if number < 0:
+        return number, []
+    return number, [row.value for row in spark.read.text(f"{folder}/versions/{number}").collect()]
+
+
+def _publish(spark: SparkSession, folder: str, number: int, datasets: list[str]) -> None:
+    """Makes the datasets the version of a micro-batch: a file of their names, in place by a rename."""
+    draft, files = _files(spark, f"{folder}/versions/_{number}")
+    out = files.create(draft, True)
+    out.write(bytearray("\n".join(datasets).encode()))
+    out.close()
+    place, _ = _files(spark, f"{folder}/versions/{number}")
+    if not files.rename(draft, place):
+        raise OSError(f"version {number} could not be put in place")
+
+
+def _retire(spark: SparkSession, folder: str, before: int) -> None:
+    """Deletes what only versions older than the snapshot of micro-batch ``before`` are made of."""
+    old = [name for name in _names(spark, folder) if name.startswith("snapshot=") and _number(name) < before]
+    old += [name for name in _names(spark, folder) if name.startswith("batch=") and _number(name) <= before]
+    old += [f"versions/{name}" for name in _names(spark, f"{folder}/versions") if name.isdigit() and int(name) < before]
+    for name in old:
+        place, files = _files(spark, f"{folder}/{name}")
+        files.delete(place, True)
+
+
+def _latest(spark: SparkSession, folder: str, datasets: list[str]) -> DataFrame:
+    """The last state of each row among the datasets of a version."""
+    parts = [
+        spark.read.schema(_STATE).parquet(f"{folder}/{name}").withColumn("n", F.lit(_number(name)))
+        for name in datasets
+    ]
     state = F.struct("EditTracker", "last_edit", "User")
     return (
         reduce(DataFrame.union, parts)
@@ -147,16 +170,26 @@ _STATE = T.StructType(
 
 
 def _write_batch(folder: str, compact_after: int):
+    states = f"{folder}/states"
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # A repeated batch overwrites its own dataset, so a retry changes nothing.
-        batch.write.mode("overwrite").parquet(f"{folder}/states/batch={batch_id}")
-        snapshot, changes = _state_files(spark, folder)
-        if len(changes) >= compact_after:
-            # The snapshot counts once it is complete; what it replaces goes after that.
-            merged = _latest(spark, snapshot | changes)
-            merged.write.mode("overwrite").parquet(f"{folder}/states/snapshot={batch_id}")
-            _delete(spark, [*snapshot.values(), *changes.values()])
+        number, datasets = _version(spark, states)
+        if batch_id <= number:
+            return  # it comes again, and its version is complete: readers may be at its files
+        # What no version names yet is nobody's: a batch that failed half-way writes it anew.
+        batch.write.mode("overwrite").parquet(f"{states}/batch={batch_id}")
+        datasets = [*datasets, f"batch={batch_id}"]
+        if sum(name.startswith("batch=") for name in datasets) < compact_after:
+            _publish(spark, states, batch_id, datasets)
+            return
+        merged = f"snapshot={batch_id}"
+        _latest(spark, states, datasets).write.mode("overwrite").parquet(f"{states}/{merged}")
+        _publish(spark, states, batch_id, [merged])
+        # What this snapshot replaces stays until the next one: for as long, readers can be at it.
+        for name in datasets:
+            if name.startswith("snapshot="):
+                _retire(spark, states, _number(name))
 
     return write
 
@@ -170,9 +203,11 @@ def start_tracking(
 ):
     """A streaming query that keeps the state of each edited row below ``folder``.
 
-    The folder must be one that all executors share. It holds the changes of fewer than
-    ``compact_after`` micro-batches and one snapshot: as much as there are edited rows, however
-    long the stream runs.
+    The folder must be one that all executors share; states and checkpoint in it belong together. It
+    holds versions: files that name the datasets which are the state after a micro-batch. Changes of
+    ``compact_after`` micro-batches are merged into a snapshot; what a snapshot replaces goes with the
+    next one. So there are two snapshots and the changes of two cycles at most, as much as there are
+    edited rows, however long the stream runs.
     """
     writer = (
         track_edits(edits, spec)
@@ -186,9 +221,10 @@ def start_tracking(
 def tracked_so_far(spark: SparkSession, folder: str) -> DataFrame:
     """The latest state of each edited row in the folder of a tracking query; none before the first.
 
-    While the query runs, call it again if a snapshot took the files that it was about to read.
+    It is the state of one complete version, whatever is written while it is read: the version's
+    files outlast the snapshot that replaces them, until the snapshot after that.
     """
-    snapshot, changes = _state_files(spark, folder)
-    if not snapshot and not changes:
+    _, datasets = _version(spark, f"{folder}/states")
+    if not datasets:
         return spark.createDataFrame([], _STATE)
-    return _latest(spark, snapshot | changes)
+    return _latest(spark, f"{folder}/states", datasets)

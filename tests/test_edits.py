@@ -92,7 +92,7 @@ def test_history_is_compacted(spark, tmp_path):
     read = read_edit_stream(spark, log, max_files=1)
     start_tracking(read, work, SPEC, available_now=True, compact_after=3).awaitTermination()
     left = sorted(p.name.partition("=")[0] for p in Path(work, "states").iterdir() if "=" in p.name)
-    assert left.count("snapshot") == 1 and left.count("batch") < 3
+    assert left.count("snapshot") <= 2 and left.count("batch") < 6  # those of two cycles
     users = {r.row: r.User for r in tracked_so_far(spark, work).collect()}
     whole = {r.row: r.User for r in track_edits(spark.read.parquet(log), SPEC).collect()}
     assert users == whole and len(users) == 3
@@ -106,3 +106,42 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     for k in (0, 0, 1, 1, 2, 2):  # the last one comes again after it was merged
         write(batches[k], k)
     assert found(tracked_so_far(spark, str(tmp_path))) == {("Main", 2, "1", "u2")}
+
+
+def batches_of(spark, n):
+    edits = [[edit(2 + k % 2, None, "a", f"u{k}", seq=k)] for k in range(n)]
+    return [track_edits(frame(spark, "edit_log", rows), SPEC) for rows in edits]
+
+
+def test_a_reader_keeps_its_version_while_batches_are_merged(spark, tmp_path):
+    from termweave.streaming.edits import _write_batch
+
+    write, work = _write_batch(str(tmp_path), 3), str(tmp_path)
+    batches = batches_of(spark, 12)
+    for k in range(2):
+        write(batches[k], k)
+    early = tracked_so_far(spark, work)  # its files are listed, not read
+    write(batches[2], 2)  # merges all three
+    late = tracked_so_far(spark, work)
+    for k in range(3, 5):
+        write(batches[k], k)
+    assert found(early) == {("Main", 2, "1", "u0"), ("Main", 3, "1", "u1")}
+    assert found(late) == {("Main", 2, "1", "u2"), ("Main", 3, "1", "u1")}
+    for k in range(5, 12):
+        write(batches[k], k)
+    assert found(tracked_so_far(spark, work)) == {("Main", 2, "1", "u10"), ("Main", 3, "1", "u11")}
+    left = [p.name for p in Path(work, "states").iterdir() if p.name.startswith(("batch=", "snapshot="))]
+    assert "batch=0" not in left and "snapshot=2" not in left and len(left) <= 2 + 5
+
+
+def test_what_no_version_names_is_not_read(spark, tmp_path):
+    from termweave.streaming.edits import _write_batch
+
+    write, work = _write_batch(str(tmp_path), 3), str(tmp_path)
+    batches = batches_of(spark, 3)
+    write(batches[0], 0)
+    # an executor or the driver was lost before the version of batch 1 was in place
+    batches[2].write.parquet(f"{work}/states/batch=1")
+    assert found(tracked_so_far(spark, work)) == {("Main", 2, "1", "u0")}
+    write(batches[1], 1)
+    assert found(tracked_so_far(spark, work)) == {("Main", 2, "1", "u0"), ("Main", 3, "1", "u1")}
