@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from termweave.functions.codes import FOUR_YEAR, degree_kind, is_true
 from termweave.functions.dates import parse_yyyymmdd
 from termweave.functions.degrees import associate_filter, bachelor_filter, classify, major_rules
-from termweave.functions.keys import branch_code, clean_return_key, first_token, match_key
+from termweave.functions.keys import branch_code, first_token
 from termweave.operators.importing import import_fields
 from termweave.operators.match import matched_records, missing_records
 from termweave.operators.rollup import rows_with_lists
 from termweave.operators.schools import import_accounts, with_schools
 from termweave.operators.terms import with_terms_by_date
 from termweave.sources.columns import STATUS_NAME
+from termweave.sources.layout import student_key
 
 # Picklist entries that select student records.
 ACTIVE = "Active: Post-Secondary"
@@ -61,7 +62,7 @@ def graduates(feed: DataFrame, spec: DegreeSpec) -> DataFrame:
         & spec.title_filter(F.col("Degree_Title"))
     )
     return feed.where(wanted).select(
-        clean_return_key(F.col("Requester_Return_Field")).alias("contact_id_nsc"),
+        student_key(feed, "nsc_feed").alias("contact_id_nsc"),
         branch_code(F.col("College_Code_Branch")).alias("nsc_college_code_branch"),
         F.col("College_Name").alias("nsc_college_name"),
         "College_State",
@@ -92,7 +93,7 @@ def college_records(student_terms: DataFrame, spec: DegreeSpec) -> DataFrame:
         "type_of_degree_earned_c",
         F.col("GAS_Name").alias("record_term_name"),
         F.col("global_academic_semester_c").alias("PAT_GAS_id"),
-        match_key(F.col("Contact_Id")).alias("contact_id_mod"),
+        student_key(student_terms, "student_term").alias("contact_id_mod"),
     )
 
 

@@ -12,7 +12,7 @@ from termweave.functions.codes import (
     is_true,
 )
 from termweave.functions.dates import parse_yyyymmdd, span_label
-from termweave.functions.keys import branch_code, clean_return_key, match_key
+from termweave.functions.keys import branch_code
 from termweave.operators.importing import import_fields
 from termweave.operators.schools import scorecard_codes
 from termweave.operators.terms import (
@@ -23,6 +23,7 @@ from termweave.operators.terms import (
 )
 from termweave.plans.degrees import COLLEGE_RECORD
 from termweave.sources.columns import STATUS_NAME
+from termweave.sources.layout import student_key
 
 BEGIN, END = "nsc_enrollment_start", "nsc_enrollment_end"
 
@@ -69,7 +70,7 @@ def enrolled(feed: DataFrame) -> DataFrame:
         }
     )
     return parsed.select(
-        clean_return_key(F.col("Requester_Return_Field")).alias("contact_id_nsc"),
+        student_key(feed, "nsc_feed").alias("contact_id_nsc"),
         F.col("First_Name").alias("first_name_nsc"),
         F.col("Last_Name").alias("last_name_nsc"),
         "Record_Found_Y_N",
@@ -102,7 +103,7 @@ def _student_states(student_terms: DataFrame) -> DataFrame:
     return (
         _records(student_terms)
         .select(
-            match_key(F.col("Contact_Id")).alias("state_contact"),
+            student_key(student_terms, "student_term").alias("state_contact"),
             F.col(STATUS_NAME).alias("sfdc_ct_status"),
             F.col("years_since_hs_grad_c").alias("sfdc_years_since_hs_grad"),
         )
@@ -121,7 +122,7 @@ def _records_with_school(student_terms: DataFrame, schools: DataFrame, terms: Da
     # The later comparison of IPEDS ids needs an account, so these lookups are inner.
     return (
         _records(student_terms)
-        .select(*_RECORD, match_key(F.col("Contact_Id")).alias("contact_id_mod"))
+        .select(*_RECORD, student_key(student_terms, "student_term").alias("contact_id_mod"))
         .join(calendars, F.col("global_academic_semester_c") == F.col("calendar_id"))
         .join(accounts, F.col("school_account_18_id_c") == F.col("record_account"))
         .drop("calendar_id", "record_account")

@@ -15,3 +15,6 @@ TERM_COLUMNS = [
     "GAS_start_date",
     "GAS_end_date",
 ]
+
+#: The student's key in tables that are laid out by it.
+STUDENT_KEY = "_student_key"

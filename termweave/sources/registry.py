@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termweave.functions.dates import or_raise
+from termweave.sources.columns import STUDENT_KEY
 from termweave.sources.schemas import SCHEMAS
 
 
@@ -26,11 +27,13 @@ def conform(df: DataFrame, source: str) -> DataFrame:
     """The columns of a source in schema order and type; fails if one is missing.
 
     A value that isn't of its column's type raises, whatever the session's ANSI mode. Text of
-    flags may be ``Y``, ``Yes``, ``True`` or ``1``, their opposites, in either case, or blank.
+    flags may be ``Y``, ``Yes``, ``True`` or ``1``, their opposites, in either case, or blank. The key
+    of a table that is laid out by student stays behind them.
     """
     require_columns(df, source)
     kinds = {f.name.lower(): f.dataType for f in df.schema}
-    return df.select([typed_value(f, kinds[f.name.lower()]) for f in SCHEMAS[source]])
+    layout = [STUDENT_KEY] if STUDENT_KEY in df.columns else []
+    return df.select([typed_value(f, kinds[f.name.lower()]) for f in SCHEMAS[source]] + layout)
 
 
 def present_value(field: T.StructField, given: T.DataType) -> Column:
