@@ -13,7 +13,10 @@ def small(df: DataFrame, most: int = SMALL) -> DataFrame:
     For tables that Catalyst can't tell the size of, like an aggregate of a calendar. Counting stops
     beyond the bound. A session that forbids broadcasts is obeyed.
     """
+    return F.broadcast(df) if is_small(df, most) else df
+
+
+def is_small(df: DataFrame, most: int = SMALL) -> bool:
+    """Whether ``small`` has the table broadcast."""
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if limit.startswith("-") or df.limit(most + 1).count() > most:
-        return df
-    return F.broadcast(df)
+    return not limit.startswith("-") and df.limit(most + 1).count() <= most

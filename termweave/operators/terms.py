@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termweave.functions.dates import span_label
-from termweave.operators.sizes import small
+from termweave.operators.sizes import is_small
 from termweave.sources.columns import TERM_COLUMNS
 
 # Fixed value: name of a row in the calendar that is no term (with two blanks).
@@ -103,15 +103,28 @@ def nearest_terms_by_span(
 def _terms_by_year(terms: DataFrame) -> DataFrame:
     """One row per calendar year with the terms that start in it."""
     term = F.struct("GAS_id", "GAS_Name_short", "GAS_start_date", "GAS_end_date")
-    return small(_calendar(terms).groupBy("GAS_Year").agg(F.collect_list(term).alias("year_terms")))
+    return _calendar(terms).groupBy("GAS_Year").agg(F.collect_list(term).alias("year_terms"))
 
 
 def _with_best_terms(events: DataFrame, terms: DataFrame, begin_col: str, end_col: str) -> DataFrame:
     """Adds ``best_terms``: of the span's candidates those nearest both by start and by end.
 
     Found row by row among the few terms of one year, so the events are neither shuffled nor
-    grouped by span while the calendar is small.
+    grouped by span while the calendar is small. Beyond that the events' distinct spans, of which a
+    year has some ten thousand, go to the terms of their year, and the events look theirs up by span:
+    they aren't gathered by year, of which there are about ten. A hot span is split in that join.
     """
+    years = _terms_by_year(terms)
+    if is_small(terms):
+        return _best_of_year(events, F.broadcast(years), begin_col, end_col)
+    spans = events.select(F.col(begin_col).alias("_begin"), F.col(end_col).alias("_end")).distinct()
+    best = _best_of_year(spans, years, "_begin", "_end")
+    own = (F.col(begin_col) == F.col("_begin")) & (F.col(end_col) == F.col("_end"))
+    return events.join(best, own).drop("_begin", "_end")
+
+
+def _best_of_year(events: DataFrame, years: DataFrame, begin_col: str, end_col: str) -> DataFrame:
+    """Events with the ``best_terms`` of the year that they begin in."""
     begin, end = F.col(begin_col), F.col(end_col)
 
     def start_gap(term: Column) -> Column:
@@ -121,7 +134,7 @@ def _with_best_terms(events: DataFrame, terms: DataFrame, begin_col: str, end_co
         return F.abs(F.datediff(end, term.GAS_end_date))
 
     return (
-        events.join(_terms_by_year(terms), F.year(begin) == F.col("GAS_Year"))
+        events.join(years, F.year(begin) == F.col("GAS_Year"))
         .withColumn("year_terms", F.filter("year_terms", lambda t: end <= t.GAS_end_date))
         .withColumn("start_gap", F.array_min(F.transform("year_terms", start_gap)))
         .withColumn("end_gap", F.array_min(F.transform("year_terms", end_gap)))

@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from catalogue.standins import source
 from termweave.operators.match import missing_records
 from termweave.operators.sizes import small
+from termweave.operators.terms import with_best_term_by_span
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +96,26 @@ def test_a_table_is_small_up_to_its_bound(compiled):
         assert "BroadcastHashJoin" not in final_plan(big.join(small(ten.groupBy("id").count(), 9), "id"))
 
 
+def test_events_are_not_gathered_by_year(compiled):
+    """With a calendar too large to broadcast, and a year that holds a third of all rows."""
+    terms = source(compiled, SF, "term")
+    events = compiled.range(0, 60000, numPartitions=12).select(
+        F.expr("CASE WHEN id % 3 = 0 THEN date'1998-01-20' ELSE date_add(date'1996-01-05', CAST(id % 1500 AS INT)) END").alias("b"),
+        F.sha2(F.col("id").cast("string"), 256).alias("wide"),
+    ).withColumn("e", F.date_add("b", 40))
+    expected = with_best_term_by_span(events, terms, "b", "e").groupBy("b", "e", "GAS_id").count().collect()
+    with settings(compiled, SPLIT_HOT_KEYS):
+        best = with_best_term_by_span(events, terms, "b", "e")
+        rows = best.groupBy("b", "e", "GAS_id").agg(F.count("wide").alias("count"))
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, expected)) and expected
+        plan = final_plan(best)
+        # only distinct spans and the calendar are shuffled by year
+        by_year = plan[: plan.index("GAS_Year")]
+        assert "wide" in plan and not re.search(r"Exchange hashpartitioning\(year\(b#", plan) and "Exchange" in by_year
+        final = final_plan(rows).partition("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+
+
 def test_a_hot_student_is_split(compiled):
     with settings(compiled, SPLIT_HOT_KEYS):
         feed = compiled.range(0, 60000, numPartitions=12).select(
