@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from termweave.llm import html as H
 
@@ -43,6 +45,24 @@ CASES = {
     ),
     "all links": ("<article><p><a href=/a>one</a></p><p><a href=/b>two</a></p></article>", "one\ntwo"),
     "anchors": (f"<article><a name=top><p>{LONG}</p><p>b</p><a href=/x>open<p>{LONG}</p></article>", f"{LONG}\nb\nopen\n{LONG}"),
+    "header names": (
+        f"<article><div class='entry-header'><div><h1>Head</h1></div><span>By me</span></div><p>{LONG}</p></article>"
+        "<div class='page-header'><h2>Site</h2></div>",
+        f"Head\n{LONG}",
+    ),
+    "header without marks": (f"<div class='article-header'><h1>Head</h1><p>{LONG}</p></div><p>{LONG}</p>", f"Head\n{LONG}"),
+    "names as evidence": (
+        f"<article><section class='social-history'><h2 id=search>Search</h2><p>{LONG}</p><p>{LONG}</p></section>"
+        f"<section id=form><p>{LONG}</p><p>{LONG}</p></section><div class='market-share'><p>{LONG}</p><p>{LONG}</p></div>"
+        "<div class='social-media'><p>Follow us there.</p></div><div class='contact-form'><p>Your name.</p></div>"
+        f"<div class='ad-box-2'><p>{LONG}</p><p>{LONG}</p></div><div id=comments><p>{LONG}</p><p>{LONG}</p></div></article>",
+        "\n".join(["Search"] + [LONG] * 6),
+    ),
+    "short sentence": (
+        f"<article><p>{LONG}</p>" + "<ul><li><a href=/a>a</a><li><a href=/b>b</a><li><a href=/c>c</a><li><a href=/d>d</a></ul>"
+        "<p>Yes.</p>" + "<ul><li><a href=/a>a</a><li><a href=/b>b</a><li><a href=/c>c</a><li><a href=/d>d</a></ul></article>",
+        f"{LONG}\nYes.",
+    ),
     "plain": ("just text", "just text"),
     "nothing": ("<html><body></body></html>", ""),
     "empty": ("", ""),
@@ -56,6 +76,28 @@ def test_main_text(name):
     assert H.main_text(page) == text
 
 
+def plainly(weights, least):
+    """Lines that a surge reaches: forwards while sums last, backwards while weights do."""
+    sums = [sum(weights[k : k + H.WINDOW]) for k in range(len(weights))]
+    surge = min(least, max(sums, default=0) / 2)
+    surges = [k for k, x in enumerate(sums) if x and x >= surge and weights[k]]
+    return [
+        any(all(sums[i : j + 1]) if i <= j else all(weights[j:i]) for i in surges) for j in range(len(weights))
+    ]
+
+
+@given(st.lists(st.sampled_from([0, 0, 0, 3, 15, 30, 90, 200]), max_size=30), st.sampled_from([H.SURGE, H.SURGE_INSIDE]))
+def test_surge_and_dive_by_brute_force(weights, least):
+    assert H.kept_lines(weights, least) == plainly(weights, least)
+
+
+@given(st.lists(st.tuples(st.booleans(), st.sampled_from([3, 15, 30, 90, 200])), max_size=25))
+def test_pages_without_marks_by_brute_force(blocks):
+    page = "".join(f"<div><a href=/>{'l' * n}</a></div>" if link else f"<p>{'p' * n}</p>" for link, n in blocks)
+    keep = plainly([0 if link else n for link, n in blocks], H.SURGE)
+    assert H.main_text(page) == "\n".join(("l" if link else "p") * n for (link, n), k in zip(blocks, keep, strict=True) if k)
+
+
 def test_long_pages_stay_whole():
     page = "<article>" + "".join(f"<p>{LONG} {k}</p>" for k in range(5000)) + "</article>"
     assert H.main_text(page).count("\n") == 4999
