@@ -3,7 +3,8 @@
 The network reads each word with a blank before and after it, forwards and backwards, and labels
 every byte; a document's probabilities are the geometric mean over its bytes. As no state passes
 from word to word, a word is read once however often a task meets it. Words of more than ``WINDOW``
-bytes are read in windows of that size, all of them.
+bytes, as in scripts without blanks, are cut at characters into windows of about that size; a window
+is read with ``CONTEXT`` bytes before and after it, whose labels are its neighbours'.
 
 It is trained in numpy by backpropagation through time on a bounded sample: ``SAMPLE`` labelled
 texts of each language in the mean, and of each ``WORDS`` words and windows, which are drawn by a hash
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 from termweave.llm import text as T
 from termweave.llm.bpe import LETTER, classes
 
-SAMPLE, WORDS, WINDOW, HIDDEN, INPUT, STEPS, BATCH = 300, 600, 24, 12, 12, 400, 512
+SAMPLE, WORDS, WINDOW, CONTEXT, HIDDEN, INPUT, STEPS, BATCH = 300, 600, 24, 12, 12, 12, 400, 512
+#: The longest window as it is read: its ends and those of its context move by up to 3 bytes each.
+WIDE = WINDOW + 2 * CONTEXT + 9
 UNKNOWN = "und"
 
 
@@ -116,36 +119,78 @@ class BiGru:
                 v -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
         return self
 
-    def word_scores(self, tokens, size) -> np.ndarray:
-        """Sum of log probabilities over the bytes of each word, and how many bytes."""
+    def word_scores(self, tokens, size, start=None, end=None) -> np.ndarray:
+        """Sum of log probabilities over the bytes of each word, and how many; from start to end, if given."""
         out = np.zeros((len(tokens), len(self.labels) + 1), np.float32)
+        start = np.zeros_like(size) if start is None else start
+        end = size if end is None else end
         for n in np.unique(size):
             same = np.flatnonzero(size == n)
             for k in range(0, len(same), 4096):
                 pick = same[k : k + 4096]
-                out[pick, :-1] = self.log_probabilities(tokens[pick, :n], None).sum(0)
-                out[pick, -1] = n
+                logp = self.log_probabilities(tokens[pick, :n], None)
+                at = np.arange(n)[:, None]
+                outside = (at < start[pick]) | (at >= end[pick])
+                if outside.any():
+                    logp[outside] = 0
+                out[pick, :-1] = logp.sum(0)
+                out[pick, -1] = end[pick] - start[pick]
         return out
 
 
-def windows(flat: T.Flat) -> T.Spans:
-    """Words, those of more than WINDOW bytes in windows."""
-    w = T.words(flat)
-    count = -(-(w.ends - w.starts) // WINDOW)
-    first = np.repeat(np.cumsum(count) - count, count)
-    starts = np.repeat(w.starts, count) + WINDOW * (np.arange(len(first)) - first)
-    return T.Spans(starts, np.minimum(starts + WINDOW, np.repeat(w.ends, count)), np.repeat(w.doc, count))
+class Windows:
+    """Words, long ones in windows: what is read of the text, and where in that the own bytes are.
+
+    What is read lies between two blanks, which belong to the first and the last window of a word.
+    """
+
+    def __init__(self, flat: T.Flat):
+        w = T.words(flat)
+        count = np.maximum(-(-(w.ends - w.starts) // WINDOW), 1)
+        first = np.repeat(np.cumsum(count) - count, count)
+        start, end = np.repeat(w.starts, count), np.repeat(w.ends, count)
+        at = start + WINDOW * (np.arange(len(first)) - first)
+        own, stop = _at_character(flat, at, start), _at_character(flat, np.minimum(at + WINDOW, end), start, end)
+        read = _at_character(flat, np.maximum(own - CONTEXT, start), start)
+        read_to = _at_character(flat, np.minimum(stop + CONTEXT, end), start, end)
+        self.read = T.Spans(read, read_to, np.repeat(w.doc, count))
+        self.start = np.where(own == start, 0, own - read + 1)
+        self.end = stop - read + 1 + (stop == end)
+
+    def __len__(self) -> int:
+        return len(self.read)
+
+    def keys(self, flat: T.Flat) -> np.ndarray:
+        """A hash of the bytes read and of which of them are own."""
+        keys = T.slice_hash(flat.sums(lower=True), self.read.starts, self.read.ends)
+        size = self.read.ends - self.read.starts + 2
+        part = (self.start > 0) | (self.end < size)
+        return np.where(part, T.mixed(keys + (self.start * 256 + self.end).astype(np.uint64)), keys)
+
+
+def _at_character(flat: T.Flat, at: np.ndarray, start: np.ndarray, end: np.ndarray | None = None) -> np.ndarray:
+    """Positions moved back to where a character begins, not before start; end is a border as it is."""
+    out = at.copy()
+    if not len(flat.data):
+        return out
+    last = len(flat.data) - 1
+    for _ in range(3):
+        inside = (flat.data[np.minimum(out, last)] & 0xC0 == 0x80) & (out > start)
+        if end is not None:
+            inside &= out < end
+        out -= inside
+    return out
 
 
 def padded(flat: T.Flat, starts, ends) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of each window between two blanks, ASCII letters lower-cased, and their number."""
     size = ends - starts
-    tokens = np.full((len(starts), WINDOW + 2), 0x20, np.uint8)
+    longest = int(size.max()) if len(starts) else 0
+    tokens = np.full((len(starts), longest + 2), 0x20, np.uint8)
     if len(starts):
-        at = starts[:, None] + np.arange(int(size.max()))
-        inside = np.arange(int(size.max())) < size[:, None]
-        data = T.LOWER[flat.data[np.minimum(at, len(flat.data) - 1)]]
-        tokens[:, 1 : 1 + data.shape[1]][inside] = data[inside]
+        inside = np.arange(longest) < size[:, None]
+        data = T.LOWER[flat.data[np.minimum(starts[:, None] + np.arange(longest), len(flat.data) - 1)]]
+        tokens[:, 1:-1][inside] = data[inside]
     return tokens, size + 2
 
 
@@ -161,7 +206,7 @@ def has_letter(flat: T.Flat) -> np.ndarray:
 
 def drawn(flat: T.Flat) -> T.Spans:
     """WORDS windows of each text, or all, by a hash of the text and of where in it they are."""
-    w = windows(flat)
+    w = Windows(flat).read
     text = T.slice_hash(flat.sums(), flat.bounds[:-1], flat.bounds[1:])
     order = np.lexsort((T.mixed(text[w.doc] + (w.starts - flat.bounds[w.doc]).astype(np.uint64)), w.doc))
     rank = np.arange(len(w)) - w.first(len(flat))[w.doc]  # w is in order of texts, as order is
@@ -188,18 +233,16 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
             words = [[] for _ in range(len(flat))]
             for d, start, end in zip(w.doc.tolist(), w.starts.tolist(), w.ends.tolist(), strict=True):
                 words[d].append(data[start:end])
-            yield pa.RecordBatch.from_arrays([batch.column("l"), pa.array([b" ".join(x) for x in words], pa.binary())], names=["l", "t"])
+            yield pa.RecordBatch.from_arrays([batch.column("l"), pa.array(words, pa.list_(pa.binary()))], names=["l", "t"])
 
     kind = near.schema["l"].dataType.simpleString()
-    taken = sorted((r["l"], bytes(r["t"])) for r in near.mapInArrow(run, f"l {kind}, t binary").collect())
+    taken = sorted((r["l"], [bytes(x) for x in r["t"]]) for r in near.mapInArrow(run, f"l {kind}, t array<binary>").collect())
     labels = sorted(counts)
-    flat = T.Flat.of(pa.array([t for _, t in taken], pa.binary()))
-    w = windows(flat)
-    if not len(w):
+    read = T.Flat.of(pa.array([x for _, t in taken for x in t], pa.binary()))
+    if not len(read):
         return None
-    tokens, size = padded(flat, w.starts, w.ends)
-    doc_label = np.array([labels.index(k) for k, _ in taken])
-    target = doc_label[w.doc]
+    tokens, size = padded(read, read.bounds[:-1], read.bounds[1:])
+    target = np.repeat([labels.index(k) for k, _ in taken], [len(t) for _, t in taken])
     weight = 1 / np.maximum(np.bincount(target, minlength=len(labels)), 1)[target]
     return BiGru(labels).train(tokens, size, target, (weight / weight.mean()).astype(np.float32))
 
@@ -216,14 +259,15 @@ def predicted(docs: DataFrame, model: BiGru | None, keep: tuple[str, ...], text:
             flat = T.Flat.of(batch.column("_text"))
             n = len(flat)
             lang, score = np.full(n, UNKNOWN, object), np.zeros(n)
-            w = windows(flat)
+            w = Windows(flat)
             if model is not None and len(w):
-                keys = T.slice_hash(flat.sums(lower=True), w.starts, w.ends)
-                rows = memo.rows_of(
-                    keys, lambda k, f=flat, w=w: [model.word_scores(*padded(f, w.starts[k], w.ends[k]))]
-                )
+
+                def scores(k, f=flat, w=w):
+                    return [model.word_scores(*padded(f, w.read.starts[k], w.read.ends[k]), w.start[k], w.end[k])]
+
+                rows = memo.rows_of(w.keys(flat), scores)
                 got = memo.values[0][rows]
-                total = np.stack([np.bincount(w.doc, got[:, k], n) for k in range(got.shape[1])])
+                total = np.stack([np.bincount(w.read.doc, got[:, k], n) for k in range(got.shape[1])])
                 mean = total[:-1] / np.maximum(total[-1], 1)
                 p = np.exp(mean - mean.max(0))
                 p /= p.sum(0)

@@ -86,6 +86,46 @@ def test_training_reads_behind_a_shared_opening(documents, spark):
     assert np.mean([got[k] == ["aa", "bb"][k % 2] for k in got]) > 0.95
 
 
+def test_windows_are_cut_at_characters_and_count_each_byte_once():
+    texts = ["漢字かな" * 40 + " kurz " + "é" * 30, "", "\U0001f600" * 20 + "x" * 49, "a" * 24, "b" * 25, " "]
+    flat = T.Flat.of(pa.array(texts))
+    w = G.Windows(flat)
+    for a, b, start, end in zip(w.read.starts, w.read.ends, w.start, w.end, strict=True):
+        flat.data[a:b].tobytes().decode()
+        (b" " + flat.data[a:b].tobytes() + b" ")[start:end].decode()
+        assert b - a + 2 <= G.WIDE and end - start <= G.WINDOW + 5
+    words = [len(x.encode()) + 2 for t in texts for x in t.split()]
+    assert (w.end - w.start).sum() == sum(words)
+    assert len(w) == sum(-(-(n - 2) // G.WINDOW) for n in words)
+
+
+def test_windows_hold_their_bytes_in_context():
+    r = np.random.default_rng(6)
+    m = G.BiGru(["a", "b", "c"])
+    flat = T.Flat.of(pa.array(["".join(map(chr, r.integers(0x4E00, 0x4E80, 90))), "short"]))
+    w = G.Windows(flat)
+    got = m.word_scores(*G.padded(flat, w.read.starts, w.read.ends), w.start, w.end)
+    for k, (a, b) in enumerate(zip(w.read.starts, w.read.ends, strict=True)):
+        tokens = np.frombuffer(b" " + flat.data[a:b].tobytes() + b" ", np.uint8)[None]
+        want = m.log_probabilities(tokens, None)[w.start[k] : w.end[k], 0].sum(0)
+        assert np.allclose(got[k, :-1], want, atol=1e-3)
+
+
+def test_held_out_accuracy_without_blanks(documents, spark):
+    """Languages of one script whose characters overlap; texts have no blank at all."""
+    r = random.Random(8)
+    signs = {lang: [chr(0x4E00 + 40 * k + j) for j in range(100)] for k, lang in enumerate(["aa", "bb", "cc"])}
+
+    def text(lang, n):
+        return "".join(r.choices(signs[lang], k=n))
+
+    rows = [(100 * k + j, text(lang, 300), lang) for k, lang in enumerate(signs) for j in range(40)]
+    model = G.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    new = [(k, text(list(signs)[k % 3], 60)) for k in range(120)]
+    got = {x["doc_id"]: x["lang_pred"] for x in G.predicted(documents(new), model, ("doc_id",)).collect()}
+    assert np.mean([got[k] == list(signs)[k % 3] for k in got]) > 0.95
+
+
 def test_words_are_drawn_from_the_whole_text():
     texts = [" ".join(f"w{k}" for k in range(10_000)), "a b", "", "x" * 100]
     w = G.drawn(T.Flat.of(pa.array(texts)))
