@@ -266,10 +266,11 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFram
         links = stage(before.union(_held(_star(sizes, labels, k), sizes, docs, id, text)))
         joined = stage(components(links))
         drop(before, labels)
-    tiles = _tiles(real)
+    tiles = _tiles(real, joined)
     for k in range(TILE_STARS + 1):
         # components only grow: a tile that holds one of them is done for good
-        before, labels, wide, tiles = links, joined, tiles, _open(tiles, joined)
+        before, labels, wide = links, joined, tiles
+        tiles = _open(_labelled(tiles.drop("c"), joined) if k else tiles)
         drop(wide)
         if tiles.isEmpty():
             break
@@ -330,8 +331,13 @@ def _first_centres(rows: DataFrame) -> DataFrame:
     return first.select(F.least("sid", "m.centre").alias("a"), F.greatest("sid", "m.centre").alias("b")).distinct()
 
 
-def _tiles(real: DataFrame) -> DataFrame:
-    """key, sid, n, pos and near: sets by each shingle where similar sets must meet, if two documents have it."""
+def _tiles(real: DataFrame, joined: DataFrame) -> DataFrame:
+    """key, sid, n, common, pos, near and c: sets by each shingle where similar sets must meet, if two
+    documents have it, and their components so far.
+
+    A set's shingles stay in one row until copies are gone and the set's component is known, so only
+    that row is shuffled and not one for each shingle.
+    """
     spark = real.sparkSession
     # shingles that begin two documents or more; most begin one
     open_ = stage(real.select(F.explode("prefix").alias("key")).groupBy("key").count().where("count > 1").select("key"))
@@ -345,22 +351,24 @@ def _tiles(real: DataFrame) -> DataFrame:
             who = np.repeat(np.arange(len(size)), size)
             pos = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
             take = sieve.value.passes(key)
-            out = [batch.column(c).take(pa.array(who[take])) for c in ("sid", "n", "common")]
-            yield pa.RecordBatch.from_arrays([*out, pa.array(key[take]), pa.array(pos[take])], names=["sid", "n", "common", "key", "pos"])
+            first = _first(who[take], len(size))
+            out = [*(batch.column(c) for c in ("sid", "n", "common")), _lists(key[take], first), _lists(pos[take], first)]
+            yield pa.RecordBatch.from_arrays(out, names=["sid", "n", "common", "key", "pos"])
 
-    rows = real.select("sid", "n", "common", "prefix").mapInArrow(run, "sid long, n long, common double, key long, pos long")
-    near = F.col("pos") * (LINK[0] + LINK[1]) <= F.col("n") * (LINK[1] - LINK[0])
-    tiles = stage(rows.distinct().withColumn("near", near))
+    rows = real.select("sid", "n", "common", "prefix").mapInArrow(run, "sid long, n long, common double, key array<long>, pos array<long>")
+    once = rows.where(F.size("key") > 0).groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n", "common", "key", "pos")))
+    known = stage(_labelled(once, joined))
     drop(open_)
     tidy(spark)
-    return tiles
+    each = known.select("sid", "n", "common", "c", F.explode(F.arrays_zip("key", "pos")).alias("at"))
+    near = F.col("pos") * (LINK[0] + LINK[1]) <= F.col("n") * (LINK[1] - LINK[0])
+    return each.select("sid", "n", "common", "c", "at.key", "at.pos").withColumn("near", near)
 
 
-def _open(tiles: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows of the tiles that hold more than one component, c: each row's component."""
-    known = _labelled(tiles.drop("c"), joined)
-    left = known.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    return stage(known.join(left, "key"))
+def _open(tiles: DataFrame) -> DataFrame:
+    """Rows of the tiles that hold more than one component."""
+    left = tiles.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    return stage(tiles.join(left, "key"))
 
 
 def _tile_star(tiles: DataFrame, k: int) -> DataFrame:
