@@ -38,7 +38,7 @@ from termweave.operators.audit import sentinel_counts
 from termweave.plans.submission import SubmissionSpec, record_line, submission_records, write_submission
 from termweave.plans.templates import admission_edits, aid_edits, edited, new_applications
 from termweave.session import tune
-from termweave.sources.layout import read_by_student, write_by_student
+from termweave.sources.layout import buckets_for, counts_by_student, read_by_student, write_by_student
 from termweave.sources.registry import read_csv
 from termweave.sources.rejects import split_rows
 from termweave.sources.sinks import read_positional, write_import
@@ -82,19 +82,24 @@ def degree_2yr_create(spark, sf):
     return _degrees(spark, sf, TWO_YEAR_CREATE)
 
 
-def _by_student(spark, sf, name, buckets=8) -> DataFrame:
-    """A source from a copy that is laid out by student."""
-    folder = scratch_folder(spark, name)
-    table = f"{name}_{folder.rsplit('-', 1)[-1]}"
-    write_by_student(source(spark, sf, name), name, table, buckets, folder)
-    return read_by_student(spark, name, table)
+def _by_student(spark, sf, *names) -> list[DataFrame]:
+    """Sources from copies that are laid out by student, in buckets as the largest needs them."""
+    counts = {name: counts_by_student(source(spark, sf, name), name) for name in names}
+    buckets = buckets_for(max(rows for rows, _ in counts.values()))
+    laid_out = []
+    for name, (_, hottest) in counts.items():
+        folder = scratch_folder(spark, name)
+        table = f"{name}_{folder.rsplit('-', 1)[-1]}"
+        write_by_student(source(spark, sf, name), name, table, buckets, folder, hottest=hottest)
+        laid_out.append(read_by_student(spark, name, table))
+    return laid_out
 
 
 @query(oracles.degrees(four_year=True, create=False))
 def degree_4yr_update_by_student(spark, sf):
     """From copies of the feed and the records in buckets by student, which meet without a shuffle."""
     spark = tune(spark.newSession(), by_student=True)
-    laid_out = [_by_student(spark, sf, name) for name in ("nsc_feed", "student_term")]
+    laid_out = _by_student(spark, sf, "nsc_feed", "student_term")
     others = [source(spark, sf, name) for name in ("school_account", "scorecard", "term")]
     return degree_records(*laid_out, *others, FOUR_YEAR_UPDATE)
 
@@ -102,7 +107,7 @@ def degree_4yr_update_by_student(spark, sf):
 @query(oracles.discrepancies(same_college=True), ("Graduation_Date", "active_user"))
 def enrolment_discrepancy_by_student(spark, sf):
     spark = tune(spark.newSession(), by_student=True)
-    laid_out = [_by_student(spark, sf, name) for name in ("nsc_feed", "student_term")]
+    laid_out = _by_student(spark, sf, "nsc_feed", "student_term")
     others = [source(spark, sf, name) for name in ("school_account", "scorecard", "term", "user")]
     return enrolment_discrepancies(*laid_out, *others, True)
 

@@ -17,6 +17,9 @@ from termweave.sources.registry import conform
 #: Rows of one student up to which a table is laid out by student: they are read by one task.
 MOST_ROWS = 1_000_000
 
+#: Rows of a bucket that ``buckets_for`` aims at: a bucket is written and read by one task.
+BUCKET_ROWS = 500_000
+
 _DERIVED = {
     "nsc_feed": lambda: clean_return_key(F.col("Requester_Return_Field")),
     "student_term": lambda: match_key(F.col("Contact_Id")),
@@ -28,24 +31,42 @@ def student_key(df: DataFrame, source: str) -> Column:
     return F.col(STUDENT_KEY) if STUDENT_KEY in df.columns else _DERIVED[source]()
 
 
+def counts_by_student(df: DataFrame, source: str) -> tuple[int, int]:
+    """Rows of a table, and of the student with the most of them; those without a student count as one."""
+    counts = df.groupBy(student_key(df, source).alias("k")).count()
+    rows, most = counts.agg(F.sum("count"), F.max("count")).first()
+    return rows or 0, most or 0
+
+
 def most_rows_of_a_student(df: DataFrame, source: str) -> int:
     """Rows of the student with the most of them; those without a student count as one."""
-    counts = df.groupBy(student_key(df, source).alias("k")).count()
-    return counts.agg(F.max("count")).first()[0] or 0
+    return counts_by_student(df, source)[1]
+
+
+def buckets_for(rows: int, least: int = 8) -> int:
+    """Buckets for tables of which the largest has so many rows: a task's share doesn't grow with them."""
+    return max(least, -(-rows // BUCKET_ROWS))
 
 
 def write_by_student(
-    df: DataFrame, source: str, table: str, buckets: int, path: str | None = None, most: int = MOST_ROWS
+    df: DataFrame,
+    source: str,
+    table: str,
+    buckets: int,
+    path: str | None = None,
+    most: int = MOST_ROWS,
+    hottest: int | None = None,
 ) -> bool:
     """Writes a source as a catalog table in ``buckets`` files by student, sorted within them.
 
-    Tables that are to be joined need the same number of buckets. A join of bucketed tables can't be
+    Tables that are to be joined need the same number of buckets, which ``buckets_for`` gives. A join of bucketed tables can't be
     split, so a table with a student of more than ``most`` rows is written without buckets: it is then
     shuffled when it is joined, where its hot student is split. Returns whether it has buckets. The
-    table is written whole either way, below ``path`` if one is given.
+    table is written whole either way, below ``path`` if one is given. ``hottest`` is that student's number
+    of rows, where it is known from ``counts_by_student``; it is counted otherwise.
     """
     rows = conform(df.drop(STUDENT_KEY), source)
-    in_buckets = most_rows_of_a_student(rows, source) <= most
+    in_buckets = (most_rows_of_a_student(rows, source) if hottest is None else hottest) <= most
     if in_buckets:
         # A bucket is written by one task, so it is one file.
         keyed = rows.withColumn(STUDENT_KEY, student_key(rows, source)).repartition(buckets, STUDENT_KEY)

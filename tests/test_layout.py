@@ -6,12 +6,14 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import product_queries
 from catalogue.standins import source
 from termweave.plans.degrees import FOUR_YEAR_UPDATE, degree_records
 from termweave.plans.enrolment import enrolment_discrepancies
 from termweave.session import tune
 from termweave.sources.columns import STUDENT_KEY
-from termweave.sources.layout import most_rows_of_a_student, read_by_student, student_key, write_by_student
+from termweave.sources import layout
+from termweave.sources.layout import counts_by_student, most_rows_of_a_student, read_by_student, student_key, write_by_student
 from termweave.sources.registry import Sources, conform
 
 SF = "/root/testdata/sf0.001"
@@ -84,6 +86,20 @@ def test_a_hot_student_is_left_to_the_join(spark, tmp_path):
     assert laid_out(spark, hot, "nsc_feed", tmp_path, most=most)[0]
 
 
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 500)
+    monkeypatch.setattr(product_queries, "scratch_folder", lambda _, name: str(tmp_path / f"{name}-{uuid.uuid4().hex}"))
+    rows = source(spark, SF, "nsc_feed").count()
+    assert -(-rows // 500) > 8
+    feed, records = product_queries._by_student(spark, SF, "nsc_feed", "student_term")
+    for df in (feed, records):  # the same number for both, so that they meet where they lie
+        parts = [f.rpartition("_")[2].partition(".")[0] for f in df.inputFiles()]
+        assert 8 < len(parts) <= -(-rows // 500) and max(map(int, parts)) < -(-rows // 500)
+    assert feed.count() == rows
+    assert layout.buckets_for(0) == layout.buckets_for(4000) == 8 and layout.buckets_for(216_000_000 // 1000) == 432
+    assert counts_by_student(feed.limit(0), "nsc_feed") == (0, 0)
+
+
 def test_no_rows_and_no_students(spark, tmp_path):
     feed = source(spark, SF, "nsc_feed")
     for rows in (feed.limit(0), feed.limit(5).withColumn("Requester_Return_Field", F.lit(None).cast("string"))):
