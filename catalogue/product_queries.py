@@ -11,6 +11,7 @@ from catalogue.scratch import remove, scratch_folder
 from catalogue.standins import source
 from termweave.plans.activities import readiness_activities
 from termweave.plans.degrees import (
+    FEED_COLUMNS,
     FOUR_YEAR_CREATE,
     FOUR_YEAR_UPDATE,
     TWO_YEAR_CREATE,
@@ -310,10 +311,10 @@ def degree_4yr_update_from_csv(spark, sf):
     return degree_records(read_csv(spark, "nsc_feed", folder), *others, FOUR_YEAR_UPDATE)
 
 
-def _feed_with_bad_dates(spark, sf, columns=None):
+def _feed_with_bad_dates(spark, sf, columns=None, keep=None):
     feed = source(spark, sf, "nsc_feed")
     text = feed.withColumn("Graduation_Date", F.expr(oracles.MALFORMED_DATE))
-    return split_rows(text, "nsc_feed", ("Requester_Return_Field", "College_Code_Branch"), columns)
+    return split_rows(text, "nsc_feed", ("Requester_Return_Field", "College_Code_Branch"), columns, keep)
 
 
 @query(oracles.FEED_REJECTS)
@@ -325,6 +326,6 @@ def feed_rejects(spark, sf):
 @query(oracles.degrees_of_good_rows())
 def degree_4yr_update_tolerant(spark, sf):
     """Degrees of a feed with malformed dates: those of all its other rows."""
-    feed = _feed_with_bad_dates(spark, sf, columns=("Graduation_Date",)).good
+    feed = _feed_with_bad_dates(spark, sf, columns=("Graduation_Date",), keep=FEED_COLUMNS).good
     others = [source(spark, sf, name) for name in ("student_term", "school_account", "scorecard", "term")]
     return degree_records(feed, *others, FOUR_YEAR_UPDATE)

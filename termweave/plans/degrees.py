@@ -49,6 +49,20 @@ FOUR_YEAR_CREATE = DegreeSpec(True, True, ("4",), bachelor_filter, any_multimedi
 TWO_YEAR_UPDATE = DegreeSpec(False, False, ("4", "2", "L"), associate_filter)
 TWO_YEAR_CREATE = DegreeSpec(False, True, ("4", "2", "L"), associate_filter)
 
+#: What the products read of the feed.
+FEED_COLUMNS = (
+    "Requester_Return_Field",
+    "Record_Found_Y_N",
+    "College_Code_Branch",
+    "College_Name",
+    "College_State",
+    "_2_year___4_year",
+    "Graduated_",
+    "Graduation_Date",
+    "Degree_Title",
+    "Degree_Major_1",
+)
+
 _STUDENT = ["Contact_Id", "full_name_c", STATUS_NAME, "high_school_graduating_class_c", "site_short"]
 _DEGREE = ["nsc_graduation_date", "Degree_Title", "Degree_Major_1"]
 

@@ -36,9 +36,9 @@ def conform(df: DataFrame, source: str) -> DataFrame:
     return df.select([typed_value(f, kinds[f.name.lower()]) for f in SCHEMAS[source]] + layout)
 
 
-def present_value(field: T.StructField, given: T.DataType) -> Column:
+def present_value(field: T.StructField, given: T.DataType, cell: Column | None = None) -> Column:
     """A column's value; text of other than text columns trimmed, blank text as NULL."""
-    value = F.col(f"`{field.name}`")
+    value = F.col(f"`{field.name}`") if cell is None else cell
     if isinstance(given, T.StringType) and not isinstance(field.dataType, T.StringType):
         value = F.when(F.trim(value) != "", F.trim(value))
     return value

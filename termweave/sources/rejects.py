@@ -24,15 +24,17 @@ NOT_A_DATE = "not a date"
 
 @dataclass(frozen=True)
 class Split:
-    """``good`` has the source's columns and types; ``rejected`` the columns that ``split_rows`` names."""
+    """``good`` has the source's columns and types, or those of them to keep; ``rejected`` the columns that ``split_rows`` names."""
 
     good: DataFrame
     rejected: DataFrame
 
 
-def _problem(field: T.StructField, given: T.DataType, dates: tuple[str, ...]) -> Column | None:
+def _problem(
+    field: T.StructField, given: T.DataType, dates: tuple[str, ...], cell: Column | None = None
+) -> Column | None:
     """What is wrong with a cell; NULL where nothing is, as with blank cells. None if nothing can be."""
-    value = present_value(field, given)
+    value = present_value(field, given, cell)
     kind = field.dataType.simpleString()
     typed = given == field.dataType or isinstance(field.dataType, T.StringType)
     if typed and field.name not in dates:
@@ -46,13 +48,18 @@ def _problem(field: T.StructField, given: T.DataType, dates: tuple[str, ...]) ->
 
 
 def split_rows(
-    df: DataFrame, source: str, keys: tuple[str, ...] = (), columns: tuple[str, ...] | None = None
+    df: DataFrame,
+    source: str,
+    keys: tuple[str, ...] = (),
+    columns: tuple[str, ...] | None = None,
+    keep: tuple[str, ...] | None = None,
 ) -> Split:
     """The rows of a source that its schema can take, and the cells that it can't.
 
     A cell is malformed if its text isn't of its column's type, or if it is in one of the source's
     ``YYYYMMDD`` columns and names no day. ``columns`` limits the check to what a product reads; in
-    others the strict rule holds. Rejects have the ``keys``, by which a row is found again,
+    others the strict rule holds. ``keep`` limits the good rows to the columns that a product reads, which
+    Spark can't tell by itself behind the count of rows. Rejects have the ``keys``, by which a row is found again,
     ``column``, ``found`` and ``problem``.
     """
     require_columns(df, source)
@@ -71,12 +78,19 @@ def split_rows(
         for name, problem in checks.items()
     ]
 
-    fine = reduce(and_, [problem.isNull() for problem in checks.values()], F.lit(True))
+    # Pushed below the expressions that make the columns, a condition would work a cell out wherever it
+    # names it. A variable holds it once.
+    def is_fine(name: str) -> Column:
+        return F.forall(
+            F.array(F.col(f"`{name}`")), lambda cell: _problem(schema[name], kinds[name.lower()], dates, cell).isNull()
+        )
+
+    fine = reduce(and_, map(is_fine, checks), F.lit(True))
     return Split(
         # The count is a border that no condition of a product is pushed through, as it might be
         # evaluated on rows that are left out. A listener can read it by its name.
         good=df.where(fine)
-        .select([typed_value(f, kinds[f.name.lower()]) for f in schema])
+        .select([typed_value(f, kinds[f.name.lower()]) for f in schema if keep is None or f.name in keep])
         .observe(f"{source} rows kept", F.count(F.lit(1)).alias("n_rows")),
         rejected=df.select(*keys, F.explode(F.array_compact(F.array(*cells))).alias("_cell")).select(
             *keys, "_cell.column", "_cell.found", "_cell.problem"

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from termweave.functions.dates import try_yyyymmdd
 from termweave.operators.audit import record_count_audit, sentinel_count_columns, sentinel_counts, term_count_rows, term_counts
 from termweave.operators.rollup import rows_with_lists
@@ -155,3 +156,20 @@ def test_rows_with_lists(spark, partitions):
     assert {(r.id, r.account, r.majors) for r in best.collect()} == {
         ("r1", "A1", "y|y|y|x"), ("r1", "A2", "y|y|y|x"), ("r2", "A1", None), (None, None, "n"),
     }
+
+
+def test_only_columns_to_keep_are_read_and_cells_worked_out_once(compiled):
+    query = entry.queries()["degree_4yr_update_tolerant"]
+    plan = query(compiled, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "CollectMetrics" in plan
+    for unread in ("First_Name", "Search_Date", "Enrollment_Major", "Public___Private", "Class_Level"):
+        assert unread not in plan
+    # a condition that names the malformed date inlined would hold its text several times
+    assert max(line.count("unknown") for line in plan.splitlines() if "Filter" in line) <= 1
+
+
+def test_columns_to_keep(spark):
+    rows = [{"Requester_Return_Field": "a", "Graduation_Date": "20220822"}, {"Requester_Return_Field": "b", "Graduation_Date": "x"}]
+    split = split_rows(text_feed(spark, rows), "nsc_feed", KEYS, ("Graduation_Date",), keep=("Graduation_Date", "Requester_Return_Field"))
+    assert [r.asDict() for r in split.good.collect()] == [{"Requester_Return_Field": "a", "Graduation_Date": 20220822}]
+    assert [r.found for r in split.rejected.collect()] == ["x"]
