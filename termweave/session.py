@@ -7,6 +7,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split the hot keys of a join even if the rows must then be shuffled again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows of a few hundred bytes are sorted and made distinct in several times their shuffled size. A
+    # shuffle has many partitions, and neighbours are joined up to this size only, so that a task's
+    # memory doesn't grow with the input.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
     # The JVM never compiles methods beyond this size, which wide rows and long rule lists
     # reach in whole-stage code; they run faster as several small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",

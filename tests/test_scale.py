@@ -11,6 +11,7 @@ from catalogue.standins import source
 from termweave.operators.match import missing_records
 from termweave.operators.sizes import small
 from termweave.operators.terms import with_best_term_by_span
+from termweave.session import SETTINGS
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -138,3 +139,13 @@ def test_a_hot_student_is_split(compiled):
         # Every other of the remaining students has a record of the same term.
         assert sum(counts.values()) == 40000
         assert final_plan(rows).count("SortMergeJoin(skew=true)") >= 2
+
+
+def test_a_shuffle_has_as_many_partitions_as_its_size_needs(compiled):
+    small_ones = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    own = compiled.newSession()
+    for name, value in (SETTINGS | small_ones).items():
+        own.conf.set(name, value)
+    counts = own.range(100_000).groupBy(F.col("id").cast("string")).count()
+    assert counts.rdd.getNumPartitions() > 8
+    assert int(SETTINGS["spark.sql.adaptive.advisoryPartitionSizeInBytes"].removesuffix("MB")) <= 16
