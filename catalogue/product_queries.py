@@ -306,7 +306,7 @@ def degree_4yr_update_from_csv(spark, sf):
             "Graduated_": F.when(F.col("Graduated_"), "Yes").when(~F.col("Graduated_"), "No"),
         }
     )
-    write_import(feed, folder, "csv")
+    write_import(feed, folder, "csv", compression="lz4")
     others = [source(spark, sf, name) for name in ("student_term", "school_account", "scorecard", "term")]
     return degree_records(read_csv(spark, "nsc_feed", folder), *others, FOUR_YEAR_UPDATE)
 

@@ -5,8 +5,10 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import product_queries
 from termweave.functions.dates import parse_yyyymmdd
 from termweave.plans.submission import SubmissionSpec, clearinghouse_submission, write_submission
+from termweave.sources import sinks
 from termweave.sources.registry import MissingColumns, Sources, conform, read_csv
 from termweave.sources.schemas import SCHEMAS
 from termweave.sources.sinks import write_import
@@ -123,3 +125,20 @@ def test_csv_with_other_columns_fails(spark, tmp_path):
     path.write_text("UNITID,INSTNM,OPEID6\n1,a,2\n")
     with pytest.raises(Exception):
         read_csv(spark, "scorecard", str(path)).collect()
+
+
+def test_a_compressed_export_is_read_back_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "PART_ROWS", 2)
+    rows = frame(spark, "scorecard", [*SCORECARD, *SCORECARD, *SCORECARD]).coalesce(1)
+    write_import(rows, str(tmp_path / "csv"), "csv", compression="lz4")
+    parts = list((tmp_path / "csv").glob("part-*"))
+    assert len(parts) == -(-rows.count() // 2) and all(p.name.endswith(".csv.lz4") for p in parts)
+    back = read_csv(spark, "scorecard", str(tmp_path / "csv"))
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_the_feed_of_the_csv_query_is_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(product_queries, "scratch_folder", lambda _, name: str(tmp_path / name))
+    product_queries.degree_4yr_update_from_csv(spark, "/root/testdata/sf0.001")
+    parts = list((tmp_path / "feed").glob("part-*"))
+    assert parts and all(p.name.endswith(".csv.lz4") for p in parts)
