@@ -36,9 +36,12 @@ WHITE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028
 
 @functools.cache
 def classes() -> np.ndarray:
-    """SPACE, LETTER, NUMBER or OTHER of each code point."""
-    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    everything = "".join(map(chr, points))
+    """SPACE, LETTER, NUMBER or OTHER of each code point.
+
+    Every worker makes it, so the code points aren't objects of their own: those took 100 MB a worker.
+    """
+    points = np.concatenate([np.arange(0xD800, dtype="<u4"), np.arange(0xE000, 0x110000, dtype="<u4")])
+    everything = points.tobytes().decode("utf-32-le")
     out = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
         for m in regex.finditer(pattern, everything):
@@ -169,6 +172,8 @@ class Bpe:
         self.fits = T.Memo(18)
         self.tables = True
         self.fresh()
+        del heads, flat, keys, size
+        T.release()
 
     def fresh(self) -> None:
         self.memo, self.pool, self.used = T.Memo(self.bits), np.zeros(1 << 20, np.int32), 0
@@ -292,6 +297,7 @@ class Bpe:
             self.fresh()
         p, sums = pieces(flat), flat.sums()
         keys = T.slice_hash(sums, p.starts, p.ends)
+        del sums
         rows = self.memo.rows_of(
             keys, lambda k: self._encode_new(flat, p.starts[k], p.ends[k])
         )

@@ -60,7 +60,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 #: Bytes of an Arrow batch: a JVM and a Python worker hold several at once for each core.
-BATCH = 8 << 20
+BATCH = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:

@@ -52,7 +52,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_hash(values: np.ndarray) -> np.ndarray:
     """Running sums by which ``slice_hash`` knows any slice; values: uint64."""
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(len(values) + 1)[0][: len(values)], out=sums[1:])
+    np.multiply(values, powers(len(values) + 1)[0][: len(values)], out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
     return sums
 
 

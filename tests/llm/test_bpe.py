@@ -1,9 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers as P
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 
 from termweave.llm import bpe
@@ -71,3 +73,16 @@ def test_digests(documents, models):
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
     assert {r["doc_id"]: list(r["ids"]) for r in bpe.encoded(documents(rows), own).collect()} == want
     assert bpe.digests(documents([]), own).collect() == []
+
+
+def test_character_classes_take_little_memory():
+    """Every worker makes them: an object for each code point took 100 MB."""
+    bpe.classes.cache_clear()
+    tracemalloc.start()
+    kinds = bpe.classes()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 30e6
+    for c in ("a", "é", "中", "9", "²", " ", "\u3000", "!", "😀", chr(0xDFFF), chr(0xE000), chr(0x10FFFF)):
+        kind = bpe.LETTER if regex.match(r"\p{L}", c) else bpe.NUMBER if regex.match(r"\p{N}", c) else bpe.SPACE if c in " \u3000" else bpe.OTHER
+        assert kinds[ord(c)] == kind
