@@ -13,6 +13,7 @@ vocabulary; ids of a text are those of its pieces in order.
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import hashlib
 import re
@@ -27,6 +28,8 @@ from termweave.llm import text as T
 
 #: Pieces with more bytes than this are encoded one by one.
 LONG = 48
+#: Bytes of new pieces that are encoded at once: the tokens within them take some hundred times that.
+AT_ONCE = 1 << 19
 _U = np.uint64
 SPACE, LETTER, NUMBER, OTHER = range(4)
 #: Code points with the property White_Space.
@@ -98,35 +101,57 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Bpe:
-    """A vocabulary of ranks, with what decides whether two tokens may stand side by side."""
+    """A vocabulary of ranks, with what decides whether two tokens may stand side by side.
+
+    Every worker holds one, so it is a few arrays: dictionaries of the tokens and of the pairs took
+    40 MB a worker.
+    """
 
     def __init__(self, ranks: dict[bytes, int], bits: int = 18):
-        self.ranks, size = ranks, max(ranks.values()) + 1
-        self.bytes_of = np.zeros(size, object)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
+        size = max(ranks.values()) + 1
+        self.length = np.zeros(size, np.int64)
+        self.length[list(ranks.values())] = [len(t) for t in ranks]
+        self.begin = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(sorted(ranks, key=ranks.get)), np.uint8)  # the tokens' bytes by rank
         self.left = np.full(size, -1, np.int64)  # the two tokens that a token's last merge joins
         self.right = np.full(size, -1, np.int64)
         self.reached = np.zeros(size, bool)  # merging a token's bytes gives that token
-        self.pairs: dict[tuple[int, int], int] = {}
+        pairs: dict[tuple[int, int], int] = {}
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
-                    self.pairs[a, b] = rank
+                    pairs[a, b] = rank
         for token, rank in ranks.items():
-            self._take_apart(token, rank)
-        self.length = np.array([len(x) if x else 0 for x in self.bytes_of])
-        reached = [(t, r) for t, r in ranks.items() if self.reached[r]]
-        self.reach = {t: r for t, r in reached}
+            self._take_apart(ranks, pairs, token, rank)
+        joined = sorted((a << 32 | b, rank) for (a, b), rank in pairs.items())
+        self.pairs, self.pair_ranks = np.array(joined, np.int64).reshape(-1, 2).T.copy()
         self.longest = max(map(len, ranks))
         self.bits, self.tables = bits, None
 
-    def _take_apart(self, token: bytes, rank: int) -> None:
-        parts = [self.ranks[token[k : k + 1]] for k in range(len(token))]
+    @functools.cached_property
+    def bytes_of(self) -> np.ndarray:
+        """The bytes of each token, as objects."""
+        raw, out = self.data.tobytes(), np.zeros(len(self.length), object)
+        for k, (a, n) in enumerate(zip(self.begin.tolist(), self.length.tolist(), strict=True)):
+            out[k] = raw[a : a + n] if n else 0
+        return out
+
+    @functools.cached_property
+    def ranks(self) -> dict[bytes, int]:
+        """The rank of each token's bytes; only long pieces ask for it."""
+        raw, at = self.data.tobytes(), zip(self.begin.tolist(), self.length.tolist(), strict=True)
+        return {raw[a : a + n]: k for k, (a, n) in enumerate(at) if n}
+
+    @functools.cached_property
+    def reach(self) -> dict[bytes, int]:
+        return {t: r for t, r in self.ranks.items() if self.reached[r]}
+
+    def _take_apart(self, ranks: dict[bytes, int], pairs: dict[tuple[int, int], int], token: bytes, rank: int) -> None:
+        parts = [ranks[token[k : k + 1]] for k in range(len(token))]
         last = (-1, -1)
         while len(parts) > 1:
-            best, at = min((self.pairs.get(p, 1 << 40), k) for k, p in enumerate(zip(parts, parts[1:], strict=False)))
+            best, at = min((pairs.get(p, 1 << 40), k) for k, p in enumerate(zip(parts, parts[1:], strict=False)))
             if best == 1 << 40:
                 return
             last = (parts[at], parts[at + 1])
@@ -140,9 +165,10 @@ class Bpe:
         Merges are undone from the last. A token across the border would have won against the merge
         undone last if its rank is lower, or equal and that merge lies to its right.
         """
-        limit = 1 << 40
+        limit, pairs = 1 << 40, self.pairs.data
         while True:
-            if self.pairs.get((a, b), limit) < limit:
+            at = bisect.bisect_left(pairs, a << 32 | b)
+            if at < len(pairs) and pairs[at] == a << 32 | b and self.pair_ranks[at] < limit:
                 return False
             split_a, split_b = self.right[a] >= 0, self.left[b] >= 0
             if split_a and (a > b or not split_b):
@@ -156,23 +182,25 @@ class Bpe:
 
     def _prepare(self) -> None:
         """Hash tables of tokens and pairs; made in the task, not sent."""
-        heads = {t[:k]: -1 for t in self.reach for k in range(1, len(t) + 1)} | self.reach
-        flat = T.Flat.of(pa.array(heads, pa.binary()))
-        keys = np.zeros(len(heads), np.uint64)
-        size = np.diff(flat.bounds)
-        for n in range(int(size.max())):
-            live = size > n
-            keys[live] = _longer(keys[live], flat.data[flat.bounds[:-1][live] + n])
-        self.heads, self.head_ids = T.SlotTable(19), np.array(list(heads.values()), np.int32)
-        self.heads.add(T.mixed(keys))
-        ab = np.array(list(self.pairs), np.int64).reshape(-1, 2)
+        token = np.flatnonzero(self.reached)
+        begin, size = self.begin[token], self.length[token]
+        keys, heads, ids = np.zeros(len(token), np.uint64), [], []
+        for n in range(int(size.max(initial=0))):
+            live = np.flatnonzero(size > n)
+            keys[live] = _longer(keys[live], self.data[begin[live] + n])
+            live = live[np.argsort(size[live] > n + 1, kind="stable")]  # whole tokens first
+            head, first = np.unique(keys[live], return_index=True)
+            whole = live[first]
+            heads.append(head)
+            ids.append(np.where(size[whole] == n + 1, token[whole], -1).astype(np.int32))
+        self.heads, self.head_ids = T.SlotTable(19), np.concatenate(ids)
+        self.heads.add(T.mixed(np.concatenate(heads)))
         self.pair_table = T.SlotTable(20)
-        self.pair_ranks = np.array(list(self.pairs.values()), np.int64)
-        self.pair_table.add(_pair_key(ab[:, 0], ab[:, 1]))
+        self.pair_table.add(_pair_key(self.pairs >> 32, self.pairs & 0xFFFFFFFF))
         self.fits = T.Memo(18)
         self.tables = True
         self.fresh()
-        del heads, flat, keys, size
+        del token, begin, size, keys, heads, ids
         T.release()
 
     def fresh(self) -> None:
@@ -213,7 +241,8 @@ class Bpe:
         begin: where the piece of each byte starts; size: how long it is. Each place is followed as
         long as some token begins with its bytes.
         """
-        at, keys = np.arange(len(data)), np.zeros(len(data), np.uint64)
+        at, keys = np.arange(len(data), dtype=np.int32), np.zeros(len(data), np.uint64)
+        begin, size = begin.astype(np.int32), size.astype(np.int32)
         found = []
         n = 0
         while len(at):
@@ -224,10 +253,11 @@ class Bpe:
             at, keys = at[head], keys[head]
             token = self.head_ids[row[head]]
             hit = token >= 0
-            found.append((at[hit], np.full(int(hit.sum()), n), token[hit]))
+            found.append((at[hit], np.full(int(hit.sum()), n, np.int16), token[hit]))
             room = begin[at] + size[at] - at > n
             at, keys = at[room], keys[room]
         start, length, token = (np.concatenate(x) for x in zip(*found, strict=True))
+        del found, at, keys
         rank = ((start + length - begin[start]) * 256 + 255 - length).astype(np.int16)
         order = np.argsort(rank, kind="stable")
         return start[order], length[order], token[order], rank[order]
@@ -271,11 +301,13 @@ class Bpe:
     def _encode_new(self, flat: T.Flat, starts, ends) -> list[np.ndarray]:
         size = ends - starts
         short = size <= LONG
-        counts = np.zeros(len(starts), np.int64)
-        ids, counts[short] = self._encode_short(flat, starts[short], ends[short])
-        offset = np.zeros(len(starts), np.int64)
-        offset[short] = self.used + np.cumsum(counts[short]) - counts[short]
-        self._put(ids)
+        counts, offset = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        some = np.flatnonzero(short)
+        group = np.cumsum(size[some]) // AT_ONCE
+        for part in np.split(some, np.flatnonzero(np.diff(group)) + 1):
+            ids, counts[part] = self._encode_short(flat, starts[part], ends[part])
+            offset[part] = self.used + np.cumsum(counts[part]) - counts[part]
+            self._put(ids)
         for k in np.flatnonzero(~short):
             piece = flat.data[starts[k] : ends[k]].tobytes()
             own = [self.ranks[piece]] if piece in self.ranks else Prefixes(self, piece).ids()
@@ -339,7 +371,7 @@ class Bpe:
         return b"".join(self.bytes_of[ids].tolist())
 
 
-_LOCAL = ("heads", "head_ids", "pair_table", "pair_ranks", "fits", "memo", "pool", "used")
+_LOCAL = ("heads", "head_ids", "pair_table", "fits", "memo", "pool", "used", "bytes_of", "ranks", "reach")
 
 
 def _longer(keys: np.ndarray, byte: np.ndarray) -> np.ndarray:

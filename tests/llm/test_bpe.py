@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 import tracemalloc
 
@@ -86,3 +87,32 @@ def test_character_classes_take_little_memory():
     for c in ("a", "é", "中", "9", "²", " ", "\u3000", "!", "😀", chr(0xDFFF), chr(0xE000), chr(0x10FFFF)):
         kind = bpe.LETTER if regex.match(r"\p{L}", c) else bpe.NUMBER if regex.match(r"\p{N}", c) else bpe.SPACE if c in " \u3000" else bpe.OTHER
         assert kinds[ord(c)] == kind
+
+
+def test_a_worker_s_vocabulary_takes_little_memory(models):
+    """Dictionaries of tokens and pairs took 40 MB more in every worker: 70 MB of traced memory in all."""
+    own, library = models[NAMES[1]]
+    sent = pickle.dumps(own)
+    bpe.classes()
+    tracemalloc.start()
+    worker = pickle.loads(sent)
+    held = tracemalloc.get_traced_memory()[0]
+    ids, _ = worker.encode(Flat.of(pa.array(["It's a short text."])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids.tolist() == library.encode_ordinary("It's a short text.")
+    assert held < 10e6
+    assert most < 50e6
+
+
+def test_new_pieces_are_encoded_some_at_a_time(models, monkeypatch):
+    own, library = models[NAMES[0]]
+    largest = []
+    suffixes = bpe.Bpe._suffixes
+    monkeypatch.setattr(bpe.Bpe, "_suffixes", lambda self, data, *more: largest.append(len(data)) or suffixes(self, data, *more))
+    monkeypatch.setattr(bpe, "AT_ONCE", 100)
+    own.close()
+    ids, first = own.encode(Flat.of(pa.array(texts(), pa.string())))
+    assert max(largest) < 100 + bpe.LONG
+    for k, t in enumerate(texts()):
+        assert ids[first[k] : first[k + 1]].tolist() == library.encode_ordinary(t or ""), t
