@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termweave.llm import text as T
-from termweave.llm.bpe import LETTER, NUMBER, SPACE, classes
+from termweave.llm.bpe import LETTER, NUMBER, OTHER, SPACE, classes
 
 #: Characters of a chunk that is split; bytes of a chunk of a long match; transitions that a task keeps.
 CHARS, SPAN, KEPT = 64, 128, 1 << 19
@@ -105,9 +105,26 @@ def split_table() -> tuple[np.ndarray, np.ndarray]:
 
 
 @functools.cache
-def _class_of() -> np.ndarray:
-    """The class of each code point."""
-    kind = classes()
+def library_classes() -> np.ndarray:
+    """``bpe.classes`` as the tokenizers library has them: its Unicode is older, and newer letters are no letters to it."""
+    from tokenizers import Regex, pre_tokenizers
+
+    out = np.full(0x110000, OTHER, np.uint8)
+    points = np.concatenate([np.arange(0xD800, dtype="<u4"), np.arange(0xE000, 0x110000, dtype="<u4")])
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        split = pre_tokenizers.Split(Regex(pattern), "removed")
+        for some in np.split(points, range(1 << 14, len(points), 1 << 14)):
+            found = np.ones(len(some), bool)
+            for _, (a, b) in split.pre_tokenize_str(some.tobytes().decode("utf-32-le")):
+                found[a:b] = False
+            out[some[found]] = kind
+    return out
+
+
+@functools.cache
+def _class_of(library: bool = False) -> np.ndarray:
+    """The class of each code point, by the pattern or as the library has it."""
+    kind = library_classes() if library else classes()
     out = np.full(len(kind), SIGN, np.uint8)
     for given, own in ((LETTER, PLAIN), (NUMBER, DIGIT), (SPACE, WHITE)):
         out[kind == given] = own
@@ -126,8 +143,8 @@ def composed(maps: np.ndarray) -> np.ndarray:
     return maps
 
 
-def matches(flat: T.Flat) -> T.Spans:
-    """The matches of the pattern in each text, as byte spans."""
+def matches(flat: T.Flat, class_of: np.ndarray | None = None) -> T.Spans:
+    """The matches of the pattern in each text, as byte spans; class_of: classes of the code points, if others."""
     if not len(flat.data):
         return T.Spans(*[np.zeros(0, np.int64)] * 3)
     at = np.flatnonzero((flat.data & 0xC0) != 0x80)
@@ -135,7 +152,7 @@ def matches(flat: T.Flat) -> T.Spans:
     n = len(points)
     # behind the last text, as if another one began
     kind = np.full(-(-(n + 1) // CHARS) * CHARS, PLAIN, np.int64)
-    kind[:n] = _class_of()[points]
+    kind[:n] = (_class_of() if class_of is None else class_of)[points]
     first = np.searchsorted(at, np.unique(flat.bounds[:-1][np.diff(flat.bounds) > 0]))
     kind[np.append(first, n)] += CLASSES
     to, mark = split_table()
@@ -413,6 +430,7 @@ class Counter:
 
     def __init__(self, vocabulary: Vocabulary):
         self.tokens, self.added = Tokens(vocabulary), vocabulary.added
+        self.class_of = _class_of(library=True)
         self.known: T.Memo | None = None
 
     def __getstate__(self):
@@ -435,7 +453,7 @@ class Counter:
         """Tokens of each text."""
         self.known = self.known or T.Memo(18)
         parts, doc, added = self._parts(flat)
-        p, sums = matches(parts), flat.sums()
+        p, sums = matches(parts, self.class_of), flat.sums()
         rows = self.known.rows_of(
             T.slice_hash(sums, p.starts, p.ends), lambda k: [self.tokens.count(flat.data, p.starts[k], p.ends[k])]
         )

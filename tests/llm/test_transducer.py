@@ -69,6 +69,13 @@ def test_counts(texts):
     assert count(texts) == brute(texts)
 
 
+def test_characters_that_the_library_s_unicode_lacks():
+    newer = np.flatnonzero(X.library_classes() != X.classes())
+    newer = newer[(newer < 0xD800) | (newer >= 0xE000)][::40]
+    texts = [f"{chr(c)}'s a{chr(c)} {chr(c)}1" for c in [0x3D000, 0x558, *newer.tolist()]]
+    assert count(texts) == brute(texts)
+
+
 @given(st.lists(st.text("abeinrst'-=_", min_size=130, max_size=900), min_size=1, max_size=4), st.integers(1, 40))
 @settings(max_examples=60, deadline=None)
 def test_long_matches(texts, span):
