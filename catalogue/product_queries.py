@@ -39,7 +39,13 @@ from termweave.operators.audit import sentinel_counts
 from termweave.plans.submission import SubmissionSpec, record_line, submission_records, write_submission
 from termweave.plans.templates import admission_edits, aid_edits, edited, new_applications
 from termweave.session import tune
-from termweave.sources.layout import buckets_for, counts_by_student, read_by_student, write_by_student
+from termweave.sources.layout import (
+    buckets_for,
+    counts_by_student,
+    read_by_student,
+    stage_by_student,
+    write_by_student,
+)
 from termweave.sources.registry import read_csv
 from termweave.sources.rejects import split_rows
 from termweave.sources.sinks import read_positional, write_import
@@ -85,13 +91,16 @@ def degree_2yr_create(spark, sf):
 
 def _by_student(spark, sf, *names) -> list[DataFrame]:
     """Sources from copies that are laid out by student, in buckets as the largest needs them."""
-    counts = {name: counts_by_student(source(spark, sf, name), name) for name in names}
+    stages = {name: scratch_folder(spark, f"{name}-staged") for name in names}
+    staged = {name: stage_by_student(source(spark, sf, name), name, stages[name]) for name in names}
+    counts = {name: counts_by_student(staged[name], name) for name in names}
     buckets = buckets_for(max(rows for rows, _ in counts.values()))
     laid_out = []
     for name, (_, hottest) in counts.items():
         folder = scratch_folder(spark, name)
         table = f"{name}_{folder.rsplit('-', 1)[-1]}"
-        write_by_student(source(spark, sf, name), name, table, buckets, folder, hottest=hottest)
+        write_by_student(staged[name], name, table, buckets, folder, hottest=hottest)
+        remove(spark, stages[name])
         laid_out.append(read_by_student(spark, name, table))
     return laid_out
 

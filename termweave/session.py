@@ -1,5 +1,8 @@
 """Session settings the plans count on."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -31,3 +34,19 @@ def tune(spark: SparkSession, by_student: bool = False) -> SparkSession:
     for name, value in (SETTINGS | (BY_STUDENT if by_student else {})).items():
         spark.conf.set(name, value)
     return spark
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is made and run, or written, within it leaves no shuffle files behind.
+
+    Otherwise they stay until the driver's JVM happens to collect the plan. Not for a DataFrame that
+    runs again as it is, which would have to make its shuffles anew.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

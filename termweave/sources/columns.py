@@ -18,3 +18,6 @@ TERM_COLUMNS = [
 
 #: The student's key in tables that are laid out by it.
 STUDENT_KEY = "_student_key"
+
+#: The part of a table that is staged by student.
+STUDENT_PART = "_student_part"

@@ -7,11 +7,14 @@ products take it where it is; without it they work the key out of the row.
 
 from __future__ import annotations
 
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.functions.keys import clean_return_key, match_key
-from termweave.sources.columns import STUDENT_KEY
+from termweave.session import freed_shuffles
+from termweave.sources.columns import STUDENT_KEY, STUDENT_PART
 from termweave.sources.registry import conform
 
 #: Rows of one student up to which a table is laid out by student: they are read by one task.
@@ -20,6 +23,12 @@ MOST_ROWS = 1_000_000
 #: Rows of a bucket that ``buckets_for`` aims at: a bucket is written and read by one task.
 BUCKET_ROWS = 500_000
 
+#: Parts that a table is staged in: a task writes a file for each.
+PARTS = 24
+
+#: Rows that a task aims at which puts staged rows into buckets.
+TASK_ROWS = 250_000
+
 _DERIVED = {
     "nsc_feed": lambda: clean_return_key(F.col("Requester_Return_Field")),
     "student_term": lambda: match_key(F.col("Contact_Id")),
@@ -34,7 +43,8 @@ def student_key(df: DataFrame, source: str) -> Column:
 def counts_by_student(df: DataFrame, source: str) -> tuple[int, int]:
     """Rows of a table, and of the student with the most of them; those without a student count as one."""
     counts = df.groupBy(student_key(df, source).alias("k")).count()
-    rows, most = counts.agg(F.sum("count"), F.max("count")).first()
+    with freed_shuffles(df.sparkSession):
+        rows, most = counts.agg(F.sum("count"), F.max("count")).first()
     return rows or 0, most or 0
 
 
@@ -44,8 +54,27 @@ def most_rows_of_a_student(df: DataFrame, source: str) -> int:
 
 
 def buckets_for(rows: int, least: int = 8) -> int:
-    """Buckets for tables of which the largest has so many rows: a task's share doesn't grow with them."""
-    return max(least, -(-rows // BUCKET_ROWS))
+    """Buckets for tables of which the largest has so many rows: a task's share doesn't grow with them.
+
+    More than ``PARTS`` are a multiple of it, so that a part of a staged table has buckets of its own.
+    """
+    needed = max(least, -(-rows // BUCKET_ROWS))
+    return needed if needed <= PARTS else -(-needed // PARTS) * PARTS
+
+
+def stage_by_student(df: DataFrame, source: str, path: str) -> DataFrame:
+    """A source written once, whole, in ``PARTS`` parts by student, to be counted and laid out from there.
+
+    What the source is made of runs once, and its shuffles are gone when it is written. Nothing is
+    shuffled for the parts: a task writes what it has of each, and columns in compressed files take a
+    fraction of the rows' size in a shuffle. The caller removes the folder after ``write_by_student``.
+    """
+    rows = conform(df.drop(STUDENT_KEY), source)
+    keyed = rows.withColumn(STUDENT_KEY, student_key(rows, source))
+    staged = keyed.withColumn(STUDENT_PART, F.pmod(F.hash(STUDENT_KEY), F.lit(PARTS)))
+    with freed_shuffles(df.sparkSession):
+        staged.write.partitionBy(STUDENT_PART).parquet(path, compression="zstd")
+    return df.sparkSession.read.schema(staged.schema).parquet(path)
 
 
 def write_by_student(
@@ -57,28 +86,54 @@ def write_by_student(
     most: int = MOST_ROWS,
     hottest: int | None = None,
 ) -> bool:
-    """Writes a source as a catalog table in ``buckets`` files by student, sorted within them.
+    """Writes a source as a catalog table in ``buckets`` buckets by student, sorted within their files.
 
     Tables that are to be joined need the same number of buckets, which ``buckets_for`` gives. A join of bucketed tables can't be
     split, so a table with a student of more than ``most`` rows is written without buckets: it is then
     shuffled when it is joined, where its hot student is split. Returns whether it has buckets. The
     table is written whole either way, below ``path`` if one is given. ``hottest`` is that student's number
     of rows, where it is known from ``counts_by_student``; it is counted otherwise.
+
+    Rows are shuffled into a file for each bucket. Those of ``stage_by_student`` aren't: the tasks write
+    what they have of each bucket, and where buckets are many, one part of the table after the other, so
+    that a task has few. A table of which a later part fails is dropped, since it would not be whole.
     """
-    rows = conform(df.drop(STUDENT_KEY), source)
+    staged = STUDENT_PART in df.columns
+    rows = conform(df if staged else df.drop(STUDENT_KEY), source)
     in_buckets = (most_rows_of_a_student(rows, source) if hottest is None else hottest) <= most
-    if in_buckets:
-        # A bucket is written by one task, so it is one file.
-        keyed = rows.withColumn(STUDENT_KEY, student_key(rows, source)).repartition(buckets, STUDENT_KEY)
-        writer = keyed.write.bucketBy(buckets, STUDENT_KEY).sortBy(STUDENT_KEY)
+
+    def save(part: DataFrame, mode: str = "overwrite") -> None:
+        writer = part.write.bucketBy(buckets, STUDENT_KEY).sortBy(STUDENT_KEY) if in_buckets else part.write
+        if path:
+            writer = writer.option("path", path)
+        with freed_shuffles(df.sparkSession):
+            writer.format("parquet").mode(mode).saveAsTable(table)
+
+    if not in_buckets:
+        save(rows.drop(STUDENT_KEY))
+    elif staged:
+        for n, part in enumerate(_passes(df, buckets)):
+            try:
+                save(conform(part, source), "append" if n else "overwrite")
+            except BaseException:
+                if n:
+                    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+                raise
     else:
-        writer = rows.write
-    if path:
-        writer = writer.option("path", path)
-    writer.format("parquet").mode("overwrite").saveAsTable(table)
+        # A bucket is written by one task, so it is one file.
+        save(rows.withColumn(STUDENT_KEY, student_key(rows, source)).repartition(buckets, STUDENT_KEY))
     return in_buckets
 
 
+def _passes(staged: DataFrame, buckets: int) -> list[DataFrame]:
+    """Staged rows in sets of parts that have no bucket in common, each in tasks of ``TASK_ROWS`` or so."""
+    passes = gcd(PARTS, buckets) if buckets > PARTS else 1
+    own = F.col(STUDENT_PART) % passes
+    with freed_shuffles(staged.sparkSession):
+        sizes = dict(staged.groupBy(own).count().collect())
+    return [staged.where(own == n).coalesce(-(-sizes.get(n, 1) // TASK_ROWS)) for n in range(passes)]
+
+
 def read_by_student(spark: SparkSession, source: str, table: str) -> DataFrame:
     """A table that ``write_by_student`` wrote, with its key if it has buckets."""
     return conform(spark.table(table), source)

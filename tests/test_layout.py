@@ -1,6 +1,7 @@
 """Tables laid out by student."""
 
 import re
+import time
 import uuid
 
 import pytest
@@ -11,9 +12,9 @@ from catalogue.standins import source
 from termweave.plans.degrees import FOUR_YEAR_UPDATE, degree_records
 from termweave.plans.enrolment import enrolment_discrepancies
 from termweave.session import tune
-from termweave.sources.columns import STUDENT_KEY
+from termweave.sources.columns import STUDENT_KEY, STUDENT_PART
 from termweave.sources import layout
-from termweave.sources.layout import counts_by_student, most_rows_of_a_student, read_by_student, student_key, write_by_student
+from termweave.sources.layout import counts_by_student, most_rows_of_a_student, read_by_student, stage_by_student, student_key, write_by_student
 from termweave.sources.registry import Sources, conform
 
 SF = "/root/testdata/sf0.001"
@@ -105,3 +106,113 @@ def test_no_rows_and_no_students(spark, tmp_path):
     for rows in (feed.limit(0), feed.limit(5).withColumn("Requester_Return_Field", F.lit(None).cast("string"))):
         done, table = laid_out(spark, rows, "nsc_feed", tmp_path)
         assert done and read_by_student(spark, "nsc_feed", table).count() == rows.count()
+
+
+def rows_of(students, each=3):
+    """Feed rows of numbered students, of student 0 twice, and one without a student."""
+    numbers = [0, *range(students), None]
+    return [(None if n is None else f"C_{n}", f"College {n}", k) for n in numbers for k in range(each)]
+
+
+def feed_of(spark, rows):
+    given = {"Requester_Return_Field": 0, "College_Name": 1, "College_Sequence": 2}
+    made = spark.createDataFrame(rows, "a string, b string, c int")
+    fields = layout.conform(source(spark, SF, "nsc_feed").limit(0), "nsc_feed").schema
+    return made.select([(F.col("abc"[given[f.name]]) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+@pytest.mark.parametrize("buckets", [4, layout.PARTS, 2 * layout.PARTS, layout.PARTS + 3])
+def test_staged_rows_are_laid_out_whole(spark, tmp_path, buckets):
+    feed = feed_of(spark, rows_of(400))
+    staged = stage_by_student(feed, "nsc_feed", str(tmp_path / "staged"))
+    table = f"t_{uuid.uuid4().hex}"
+    assert counts_by_student(staged, "nsc_feed") == (402 * 3, 6)
+    assert write_by_student(staged, "nsc_feed", table, buckets, str(tmp_path / table))
+    back = read_by_student(spark, "nsc_feed", table)
+    assert back.columns == [*feed.columns, STUDENT_KEY] and STUDENT_PART not in back.columns
+    assert back.drop(STUDENT_KEY).exceptAll(feed).isEmpty() and feed.exceptAll(back.drop(STUDENT_KEY)).isEmpty()
+    assert back.where(~F.col(STUDENT_KEY).eqNullSafe(student_key(feed, "nsc_feed"))).isEmpty()
+    # a row is in a file of the bucket that Spark looks for it in, and a bucket of few rows is one file
+    own = F.pmod(F.hash(STUDENT_KEY), F.lit(buckets))
+    files = back.select(F.regexp_extract(F.input_file_name(), r"_(\d+)\.", 1).cast("int").alias("file"), own.alias("own"))
+    assert files.where("file <> own").isEmpty() and files.select("own").distinct().count() == buckets
+    assert len(back.inputFiles()) == buckets
+
+
+def test_passes_of_a_staged_table_share_no_bucket_and_no_shuffle(spark, tmp_path, monkeypatch):
+    staged = stage_by_student(feed_of(spark, rows_of(400)), "nsc_feed", str(tmp_path / "staged"))
+    buckets = 2 * layout.PARTS
+    monkeypatch.setattr(layout, "TASK_ROWS", 20)
+    passes = layout._passes(staged, buckets)
+    own = [{r[0] for r in p.select(F.pmod(F.hash(STUDENT_KEY), F.lit(buckets))).collect()} for p in passes]
+    assert len(passes) == layout.PARTS and all(len(o) == 2 for o in own) and len(set().union(*own)) == buckets
+    assert all("Exchange" not in p._jdf.queryExecution().executedPlan().toString() for p in passes)
+    assert all(p.rdd.getNumPartitions() <= -(-p.count() // 20) for p in passes)
+
+
+def test_staged_tables_meet_where_they_lie(tables, tmp_path):
+    spark, _ = tables
+    plain = {n: source(spark, SF, n) for n in ("nsc_feed", "student_term")}
+    laid = {}
+    for name, df in plain.items():
+        staged = stage_by_student(df, name, str(tmp_path / f"{name}-staged"))
+        table = f"t_{uuid.uuid4().hex}"
+        assert write_by_student(staged, name, table, 2 * layout.PARTS, str(tmp_path / table))
+        laid[name] = read_by_student(spark, name, table)
+    df = degree_records(laid["nsc_feed"], laid["student_term"], *others(spark), FOUR_YEAR_UPDATE)
+    assert by_student_exchanges(df) == []
+    expected = degree_records(plain["nsc_feed"], plain["student_term"], *others(spark), FOUR_YEAR_UPDATE)
+    assert sorted(map(str, df.collect())) == sorted(map(str, expected.collect()))
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {b for b in blocks.mkString(" ").split() if b.startswith("shuffle_")}
+
+
+def test_the_layout_leaves_nothing_but_its_tables(compiled, tmp_path, monkeypatch):
+    monkeypatch.setattr(product_queries, "scratch_folder", lambda _, name: str(tmp_path / f"{name}-{uuid.uuid4().hex}"))
+    own = tune(compiled.newSession(), by_student=True)
+    before = shuffle_files(own)
+    laid = product_queries._by_student(own, SF, "nsc_feed", "student_term")
+    until = time.time() + 20
+    while shuffle_files(own) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(own) - before
+    assert {p.name.partition("-")[0] for p in tmp_path.iterdir()} == {"nsc_feed", "student_term"} and len(list(tmp_path.iterdir())) == 2
+    assert [df.count() for df in laid] == [source(own, SF, n).count() for n in ("nsc_feed", "student_term")]
+
+
+def test_a_staged_hot_student_is_left_to_the_join(spark, tmp_path):
+    feed = feed_of(spark, rows_of(50))
+    staged = stage_by_student(feed, "nsc_feed", str(tmp_path / "staged"))
+    for most, bucketed in ((5, False), (6, True)):
+        table = f"t_{uuid.uuid4().hex}"
+        assert write_by_student(staged, "nsc_feed", table, 4, str(tmp_path / table), most=most) == bucketed
+        back = read_by_student(spark, "nsc_feed", table)
+        assert (STUDENT_KEY in back.columns) == bucketed and back.drop(STUDENT_KEY).exceptAll(feed).isEmpty()
+        assert back.count() == feed.count()
+
+
+def test_no_staged_rows(spark, tmp_path):
+    staged = stage_by_student(feed_of(spark, []), "nsc_feed", str(tmp_path / "staged"))
+    assert counts_by_student(staged, "nsc_feed") == (0, 0)
+    for buckets in (4, 2 * layout.PARTS):
+        table = f"t_{uuid.uuid4().hex}"
+        assert write_by_student(staged, "nsc_feed", table, buckets, str(tmp_path / table))
+        assert read_by_student(spark, "nsc_feed", table).count() == 0
+
+
+def test_a_table_that_lacks_a_pass_is_dropped(spark, tmp_path, monkeypatch):
+    staged = stage_by_student(feed_of(spark, rows_of(50)), "nsc_feed", str(tmp_path / "staged"))
+    broken = staged.withColumn("College_Name", F.raise_error(F.lit("broken")).cast("string"))
+    monkeypatch.setattr(layout, "_passes", lambda *_: [staged, broken])
+    table = f"t_{uuid.uuid4().hex}"
+    with pytest.raises(Exception, match="broken"):
+        write_by_student(staged, "nsc_feed", table, 4, str(tmp_path / table))
+    assert not spark.catalog.tableExists(table)
+
+
+def test_many_buckets_are_a_multiple_of_the_parts():
+    rows = layout.BUCKET_ROWS
+    assert [layout.buckets_for(n * rows) for n in (1, 9, 24, 25, 48, 49)] == [8, 9, 24, 48, 48, 72] and layout.PARTS == 24
