@@ -37,16 +37,13 @@ def tune(spark: SparkSession, by_student: bool = False) -> SparkSession:
 
 
 @contextmanager
-def freed_shuffles(spark: SparkSession) -> Iterator[None]:
-    """What is made and run, or written, within it leaves no shuffle files behind.
-
-    Otherwise they stay until the driver's JVM happens to collect the plan. Not for a DataFrame that
-    runs again as it is, which would have to make its shuffles anew.
-    """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
+def within(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings for what is made and run within it."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)

@@ -7,13 +7,14 @@ products take it where it is; without it they work the key out of the row.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.functions.keys import clean_return_key, match_key
-from termweave.session import freed_shuffles
+from termweave.session import within
 from termweave.sources.columns import STUDENT_KEY, STUDENT_PART
 from termweave.sources.registry import conform
 
@@ -29,6 +30,16 @@ PARTS = 24
 #: Rows that a task aims at which puts staged rows into buckets.
 TASK_ROWS = 250_000
 
+#: For the queries that copy a table. None of their DataFrames runs twice, which would make shuffles anew.
+COPYING = {
+    # Shuffle files go when a query ends. Otherwise they stay until the driver's JVM happens to collect its plan.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # A task sorts rows by part that may be many times as wide as what it read of a shuffle.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8MB",
+    # A union of sets of one task each has a task for each set.
+    "spark.sql.unionOutputPartitioning": "false",
+}
+
 _DERIVED = {
     "nsc_feed": lambda: clean_return_key(F.col("Requester_Return_Field")),
     "student_term": lambda: match_key(F.col("Contact_Id")),
@@ -43,7 +54,7 @@ def student_key(df: DataFrame, source: str) -> Column:
 def counts_by_student(df: DataFrame, source: str) -> tuple[int, int]:
     """Rows of a table, and of the student with the most of them; those without a student count as one."""
     counts = df.groupBy(student_key(df, source).alias("k")).count()
-    with freed_shuffles(df.sparkSession):
+    with within(df.sparkSession, COPYING):
         rows, most = counts.agg(F.sum("count"), F.max("count")).first()
     return rows or 0, most or 0
 
@@ -72,7 +83,7 @@ def stage_by_student(df: DataFrame, source: str, path: str) -> DataFrame:
     rows = conform(df.drop(STUDENT_KEY), source)
     keyed = rows.withColumn(STUDENT_KEY, student_key(rows, source))
     staged = keyed.withColumn(STUDENT_PART, F.pmod(F.hash(STUDENT_KEY), F.lit(PARTS)))
-    with freed_shuffles(df.sparkSession):
+    with within(df.sparkSession, COPYING):
         staged.write.partitionBy(STUDENT_PART).parquet(path, compression="zstd")
     return df.sparkSession.read.schema(staged.schema).parquet(path)
 
@@ -94,44 +105,35 @@ def write_by_student(
     table is written whole either way, below ``path`` if one is given. ``hottest`` is that student's number
     of rows, where it is known from ``counts_by_student``; it is counted otherwise.
 
-    Rows are shuffled into a file for each bucket. Those of ``stage_by_student`` aren't: the tasks write
-    what they have of each bucket, and where buckets are many, one part of the table after the other, so
-    that a task has few. A table of which a later part fails is dropped, since it would not be whole.
+    Rows are shuffled into a file for each bucket. Those of ``stage_by_student`` aren't: a task writes
+    what it has of each bucket, and as it reads some parts only, it has few buckets.
     """
     staged = STUDENT_PART in df.columns
     rows = conform(df if staged else df.drop(STUDENT_KEY), source)
     in_buckets = (most_rows_of_a_student(rows, source) if hottest is None else hottest) <= most
-
-    def save(part: DataFrame, mode: str = "overwrite") -> None:
-        writer = part.write.bucketBy(buckets, STUDENT_KEY).sortBy(STUDENT_KEY) if in_buckets else part.write
+    with within(df.sparkSession, COPYING):
+        if not in_buckets:
+            writer = rows.drop(STUDENT_KEY).write
+        else:
+            if staged:
+                rows = conform(_by_buckets(df, buckets), source)
+            else:
+                # A bucket is written by one task, so it is one file.
+                rows = rows.withColumn(STUDENT_KEY, student_key(rows, source)).repartition(buckets, STUDENT_KEY)
+            writer = rows.write.bucketBy(buckets, STUDENT_KEY).sortBy(STUDENT_KEY)
         if path:
             writer = writer.option("path", path)
-        with freed_shuffles(df.sparkSession):
-            writer.format("parquet").mode(mode).saveAsTable(table)
-
-    if not in_buckets:
-        save(rows.drop(STUDENT_KEY))
-    elif staged:
-        for n, part in enumerate(_passes(df, buckets)):
-            try:
-                save(conform(part, source), "append" if n else "overwrite")
-            except BaseException:
-                if n:
-                    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-                raise
-    else:
-        # A bucket is written by one task, so it is one file.
-        save(rows.withColumn(STUDENT_KEY, student_key(rows, source)).repartition(buckets, STUDENT_KEY))
+        writer.format("parquet").mode("overwrite").saveAsTable(table)
     return in_buckets
 
 
-def _passes(staged: DataFrame, buckets: int) -> list[DataFrame]:
-    """Staged rows in sets of parts that have no bucket in common, each in tasks of ``TASK_ROWS`` or so."""
-    passes = gcd(PARTS, buckets) if buckets > PARTS else 1
-    own = F.col(STUDENT_PART) % passes
-    with freed_shuffles(staged.sparkSession):
-        sizes = dict(staged.groupBy(own).count().collect())
-    return [staged.where(own == n).coalesce(-(-sizes.get(n, 1) // TASK_ROWS)) for n in range(passes)]
+def _by_buckets(staged: DataFrame, buckets: int) -> DataFrame:
+    """Staged rows in tasks of ``TASK_ROWS`` or so, each of parts that share buckets with no others."""
+    sets = gcd(PARTS, buckets)
+    own = F.col(STUDENT_PART) % sets
+    sizes = dict(staged.groupBy(own).count().collect())
+    tasks = {n: staged.where(own == n).coalesce(-(-rows // TASK_ROWS)) for n, rows in sorted(sizes.items())}
+    return reduce(DataFrame.union, tasks.values(), staged.limit(0))
 
 
 def read_by_student(spark: SparkSession, source: str, table: str) -> DataFrame:

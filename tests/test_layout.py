@@ -11,7 +11,7 @@ from catalogue import product_queries
 from catalogue.standins import source
 from termweave.plans.degrees import FOUR_YEAR_UPDATE, degree_records
 from termweave.plans.enrolment import enrolment_discrepancies
-from termweave.session import tune
+from termweave.session import tune, within
 from termweave.sources.columns import STUDENT_KEY, STUDENT_PART
 from termweave.sources import layout
 from termweave.sources.layout import counts_by_student, most_rows_of_a_student, read_by_student, stage_by_student, student_key, write_by_student
@@ -139,15 +139,20 @@ def test_staged_rows_are_laid_out_whole(spark, tmp_path, buckets):
     assert len(back.inputFiles()) == buckets
 
 
-def test_passes_of_a_staged_table_share_no_bucket_and_no_shuffle(spark, tmp_path, monkeypatch):
-    staged = stage_by_student(feed_of(spark, rows_of(400)), "nsc_feed", str(tmp_path / "staged"))
+@pytest.mark.parametrize("task_rows, tasks", [(20, 61), (1000, 24)])
+def test_tasks_of_a_staged_table_have_few_buckets_and_no_shuffle(compiled, tmp_path, monkeypatch, task_rows, tasks):
+    own = compiled.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", "1")  # so that small files are many tasks
+    feed = feed_of(own, rows_of(400)).repartition(6)
+    staged = stage_by_student(feed, "nsc_feed", str(tmp_path / "staged"))
     buckets = 2 * layout.PARTS
-    monkeypatch.setattr(layout, "TASK_ROWS", 20)
-    passes = layout._passes(staged, buckets)
-    own = [{r[0] for r in p.select(F.pmod(F.hash(STUDENT_KEY), F.lit(buckets))).collect()} for p in passes]
-    assert len(passes) == layout.PARTS and all(len(o) == 2 for o in own) and len(set().union(*own)) == buckets
-    assert all("Exchange" not in p._jdf.queryExecution().executedPlan().toString() for p in passes)
-    assert all(p.rdd.getNumPartitions() <= -(-p.count() // 20) for p in passes)
+    monkeypatch.setattr(layout, "TASK_ROWS", task_rows)
+    with within(own, layout.COPYING):
+        rows = layout._by_buckets(staged, buckets)
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+        bucket = F.pmod(F.hash(STUDENT_KEY), F.lit(buckets))
+        each = rows.groupBy(F.spark_partition_id()).agg(F.countDistinct(bucket).alias("n")).collect()
+    assert layout.PARTS <= len(each) <= tasks and max(r.n for r in each) <= 2
 
 
 def test_staged_tables_meet_where_they_lie(tables, tmp_path):
@@ -203,14 +208,15 @@ def test_no_staged_rows(spark, tmp_path):
         assert read_by_student(spark, "nsc_feed", table).count() == 0
 
 
-def test_a_table_that_lacks_a_pass_is_dropped(spark, tmp_path, monkeypatch):
-    staged = stage_by_student(feed_of(spark, rows_of(50)), "nsc_feed", str(tmp_path / "staged"))
-    broken = staged.withColumn("College_Name", F.raise_error(F.lit("broken")).cast("string"))
-    monkeypatch.setattr(layout, "_passes", lambda *_: [staged, broken])
-    table = f"t_{uuid.uuid4().hex}"
-    with pytest.raises(Exception, match="broken"):
-        write_by_student(staged, "nsc_feed", table, 4, str(tmp_path / table))
-    assert not spark.catalog.tableExists(table)
+def test_settings_hold_within_only(compiled):
+    own = compiled.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", "7")
+    given = {"spark.sql.files.openCostInBytes": "8", "spark.sql.files.maxPartitionNum": "3"}
+    with pytest.raises(ValueError), within(own, given):
+        assert {name: own.conf.get(name) for name in given} == given
+        raise ValueError
+    assert own.conf.get("spark.sql.files.openCostInBytes") == "7"
+    assert own.conf.get("spark.sql.files.maxPartitionNum", None) is None
 
 
 def test_many_buckets_are_a_multiple_of_the_parts():
